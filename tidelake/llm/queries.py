@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, sharding, warc
+from . import decontaminate, langid, near_dedup, packing, quality, sharding, warc
+from .common import fold
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +21,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontaminate_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op3_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), end=2, window=4096)
 
 
+def op4_quality_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op7_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(langid.training_rows(docs))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
 
@@ -38,7 +57,25 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pack_nnls, op8_warc_index, op9_shard_kd_tree, op10_near_duplicates)
+    f.__name__: f for f in (op1_decontaminate_fm_index, op3_pack_nnls, op4_quality_positive_unlabelled, op7_language_hierarchy, op8_warc_index, op9_shard_kd_tree, op10_near_duplicates)
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op1_decontaminate_fm_index": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+                    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        grams AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+                  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+        hits AS (SELECT doc_id, item_id, i, grams.n AS n FROM grams JOIN windows ON grams.g = windows.g AND grams.n = windows.n),
+        marks AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS s FROM hits GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN marks USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+}
