@@ -13,6 +13,7 @@ Work on the driver depends on the window only. Nothing is cut but documents long
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,9 +32,33 @@ DEPTH, COMMON = 4, 40
 SWEEPS = 300
 
 
-class WordIds(dict):
-    """Word -> its ids as little-endian unsigned 32-bit bytes. Words are split at ASCII white space, across which neither the
-    normaliser nor the pre-tokeniser of a word-level BPE file joins anything."""
+# 1: ASCII small letters and digits, 2: other ASCII characters than white space and the apostrophe. Pre-tokenisation cuts between the
+# two in any case, and a space put there changes nothing.
+_KIND = np.array([1 if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 2 if 0x21 <= b <= 0x7E and b != 0x27 else 0 for b in range(256)], np.uint8)
+_SPECIAL = re.compile(rb"<\|")
+
+
+def parts(text: bytes) -> list[bytes]:
+    """Lower-case pieces of a text, cut at ASCII white space and between ASCII letters or digits and other characters."""
+    low = np.frombuffer(text.lower(), np.uint8)
+    kind = _KIND[low]
+    cut = np.flatnonzero(kind[1:] * kind[:-1] == 2)
+    return (np.insert(low, cut + 1, 0x20) if len(cut) else low).tobytes().split()
+
+
+# Small letters that normalising and lower-casing leave alone; and the byte-level alphabet: printable Latin-1 stands for itself, other
+# bytes in turn for the characters from 256 on.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
+
+
+class PartIds(dict):
+    """Part of a text -> its ids as little-endian unsigned 32-bit bytes.
+
+    For tokenizers that lower case, drop white space and part letters, digits and other characters, as `word_bpe_49k.json` does.
+    Up to LIMIT parts are remembered: the first ones stay until far more others have come than would fit.
+    """
 
     LIMIT = 400_000
 
@@ -41,24 +66,40 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.LIMIT:
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
+        self.missed = 0
+
+    def plain(self, text: bytes) -> bytes:
+        return np.array(self.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, part: bytes) -> bytes:
+        if part.isalpha() or _PLAIN.fullmatch(part.decode("utf-8", "replace")):  # one word to the model, whatever comes before it
+            value = np.array([t.id for t in self.word(part.decode("latin-1").translate(_LEVEL))], "<u4").tobytes()
+        else:
+            value = self.plain(part)
+        self.missed += 1
+        if self.missed > 5 * self.LIMIT:
             self.clear()
-        value = self[word] = np.array(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+            self.missed = 0
+        if len(self) < self.LIMIT:
+            self[part] = value
         return value
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def part_ids(path: str) -> PartIds:
+    return PartIds(path)
 
 
 def encode(text: bytes | None, path: str, end: int) -> bytes:
     """Ids of a whole text and the end id, as little-endian unsigned 32-bit bytes."""
-    known = word_ids(path)
-    return b"".join(map(known.__getitem__, text.split() if text else [])) + int(end).to_bytes(4, "little")
+    known = part_ids(path)
+    if text and _SPECIAL.search(text):  # may hold a special token's own spelling, which is matched before lower-casing
+        ids = known.plain(text)
+    else:
+        ids = b"".join(map(known.__getitem__, parts(text) if text else []))
+    return ids + int(end).to_bytes(4, "little")
 
 
 def pieces(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
