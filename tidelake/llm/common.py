@@ -6,14 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,27 +63,20 @@ def binary_list(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    return df.mapInArrow(f, schema)
-
-
-class HashedWords(dict):
-    """Word -> 64-bit hash, remembered for as many words as fit the limit."""
-
-    LIMIT = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-hashed_words = HashedWords()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(hashed_words.__getitem__, words), np.uint64, len(words))
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """While it holds, what runs hands Python so many rows at once: for rows that carry much."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -113,14 +106,3 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, rows_pe
     small = key_bound is not None and key_bound * n <= 1_000_000
     joined = inner.join(F.broadcast(shifts) if small else shifts, on, "left")
     return joined.withColumn(out, (F.col("__shift") + F.col("__rank") - 1).cast("long")).drop("__bucket", "__n", "__rank", "__b", "__shift", *[f"__k{i}" for i in range(len(keys))])
-
-
-def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Iterator[pa.RecordBatch]:
-    block: list[tuple] = []
-    for row in rows:
-        block.append(row)
-        if len(block) >= size:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block), schema.types)], schema=schema)
-            block = []
-    if block:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block), schema.types)], schema=schema)

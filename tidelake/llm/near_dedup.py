@@ -1,33 +1,36 @@
 """MinHash near-duplicates by a multi-index Hamming join, confirmed on full shingle sets.
 
-A signature has chunks * size symbols of b bits, each a MinHash of the document's word shingles; the distance of two
-signatures is the number of symbols that differ. The signature is split into chunks. By the pigeonhole principle two
-signatures at a distance under chunks * (errors + 1) share a chunk with at most `errors` differing symbols. Those errors are
-enumerated as blanks: with one error, each chunk is looked up under `size` keys, each leaving one of its symbols out, so all
-pairs under the distance threshold meet in a bucket, and most pairs beyond it too. A pair at the similarity threshold misses
-all buckets with a chance of about 1e-5 (`plan` picks the number of chunks for that); every pair that meets is confirmed.
+A signature has MINHASHES MinHashes of a document's word shingles. The index takes the first of them, chunks * CHUNK symbols of BITS
+bits each, and splits them into chunks: by the pigeonhole principle, two signatures that differ in fewer than chunks * 2 of these
+symbols share a chunk with at most one differing symbol. That error is enumerated as a blank: each chunk is looked up under
+CHUNK keys, each leaving one of its symbols out, so all pairs under that distance meet in a bucket, and most beyond it too. A
+pair at the similarity threshold meets in no bucket with a chance of about 1e-5 (`plan` picks the number of chunks for that). Pairs that
+meet are held to a second distance: one bit of each MinHash, for which a pair at the threshold stays within `far` but for a
+chance of 1e-6. What passes is confirmed on the full sets.
 
 No bucket emits all its pairs. First, documents with equal shingle sets become one class. Then each bucket ties its members to its
-least one and the ties are confirmed; after that, members of one component need no further comparison, and only pairs of
-one bucket that lie in different components are compared, under the necessary conditions on sizes and signatures, inside
-the join. Components are found once more over all confirmed links.
+least one and the ties are confirmed; after that, members of one component need no further comparison, and only pairs of one
+bucket that lie in different components are compared, inside the join, under the conditions on sizes and bits; each is
+emitted by one of the buckets it shares. Components are found once more over all confirmed links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..deploy import ship
-from .common import Saved, binary_list, mix, word_hashes
+from .common import Saved, binary_list, mix, small_batches, word_hashes
 from .components import components
 
-CHUNK, MISS, BITS = 5, 2e-5, 16
+CHUNK, MISS, BITS, MINHASHES = 5, 2e-5, 16, 256
+WORDS = MINHASHES // 64
 #: Ids of candidate documents are broadcast up to so many, 32 MB; beyond, they are shuffled.
 BROADCAST_IDS = 4_000_000
 
@@ -41,16 +44,14 @@ def plan(threshold: float) -> int:
     return n
 
 
-def fewest_equal(threshold: float, symbols: int) -> int:
-    """Equal symbols that a pair at the threshold has but for a chance of 1e-6."""
-    from math import comb
-
-    total = 0.0
-    for k in range(symbols + 1):
-        total += comb(symbols, k) * threshold**k * (1 - threshold) ** (symbols - k)
-        if total > 1e-6:
+def far(threshold: float) -> int:
+    """Differing bits of MINHASHES that a pair at the threshold stays within but for a chance of 1e-6."""
+    p, tail = (1 - threshold) / 2, 0.0
+    for k in range(MINHASHES, -1, -1):
+        tail += comb(MINHASHES, k) * p**k * (1 - p) ** (MINHASHES - k)
+        if tail > 1e-6:
             return k
-    return symbols
+    return 0
 
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
@@ -65,55 +66,56 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _factors(symbols: int) -> tuple[np.ndarray, np.ndarray]:
+def _factors() -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(20240117)
-    return r.integers(1, 2**63, symbols, dtype=np.uint64) | np.uint64(1), r.integers(0, 2**63, symbols, dtype=np.uint64)
+    return r.integers(1, 2**32, MINHASHES, dtype=np.uint32) | np.uint32(1), r.integers(0, 2**32, MINHASHES, dtype=np.uint32)
 
 
-def signature(s: np.ndarray, symbols: int, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """One b-bit symbol of each MinHash."""
-    out = np.full(symbols, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(s), 4096):  # a long text's table of hashes stays small
-        block = s[at : at + 4096, None] * mult + add
-        block ^= block >> np.uint64(32)
-        block *= np.uint64(0xD6E8FEB86659FD93)
-        np.minimum(out, block.min(axis=0), out=out)
-    return mix(out) & np.uint64((1 << BITS) - 1)
+def signature(s: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The MinHashes of a set of mixed hashes."""
+    out, high = np.full(MINHASHES, np.iinfo(np.uint32).max, np.uint32), (s >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(s), 2048):  # a long text's table of hashes stays small
+        block = np.multiply.outer(mult, high[at : at + 2048])
+        block += add[:, None]
+        np.minimum(out, block.min(axis=1), out=out)
+    return out
 
 
-def bucket_keys(sig: np.ndarray, chunks: int) -> np.ndarray:
-    """A key for each chunk and each symbol left out of it."""
-    parts = sig.reshape(chunks, CHUNK)
-    out = np.empty((chunks, CHUNK), np.uint64)
+def bucket_keys(symbols: np.ndarray, chunks: int) -> np.ndarray:
+    """For each row of symbols, a key for each chunk and each symbol left out of it."""
+    parts = symbols.reshape(len(symbols), chunks, CHUNK)
+    out = np.empty((len(symbols), chunks, CHUNK), np.uint64)
     for gap in range(CHUNK):
-        key = (np.arange(chunks, dtype=np.uint64) * np.uint64(CHUNK) + np.uint64(gap + 1)) * np.uint64(0x9E3779B97F4A7C15)
+        key = np.broadcast_to((np.arange(chunks, dtype=np.uint64) * np.uint64(CHUNK) + np.uint64(gap + 1)) * np.uint64(0x9E3779B97F4A7C15), parts.shape[:2])
         for j in range(CHUNK):
             if j != gap:
-                key = mix(key ^ parts[:, j] * np.uint64(0xFF51AFD7ED558CCD))
-        out[:, gap] = key
-    return out.ravel()
+                key = mix(key ^ parts[:, :, j] * np.uint64(0xFF51AFD7ED558CCD))
+        out[:, :, gap] = key
+    return out.reshape(len(symbols), -1)
 
 
 def sketches(docs: DataFrame, width: int, chunks: int) -> DataFrame:
-    """(doc_id, n, digest, keys, sig) of every row; digest, keys and sig are null for a text without words."""
+    """(doc_id, n, digest, keys, bits) of every row; digest, keys and bits are null for a text without words."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mult, add = _factors(chunks * CHUNK)
-        for batch in it:
-            n, digest, keys, sig = [], [], [], []
-            for text in binary_list(batch.column(1)):
-                s = shingles(text, width)
-                n.append(len(s))
-                if len(s):
-                    m = signature(s, chunks * CHUNK, mult, add)
-                    digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    keys.append(bucket_keys(m, chunks).view(np.int64))
-                    sig.append(m.astype(np.int32))
-                else:
-                    digest.append(None), keys.append(None), sig.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.list_(pa.int32()))], names=["doc_id", "n", "digest", "keys", "sig"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>, sig array<int>")
+        mult, add = _factors()
+        for whole in it:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                n, digest, sigs = [], [], []
+                for text in binary_list(batch.column(1)):
+                    s = shingles(text, width)
+                    n.append(len(s))
+                    digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                    sigs.append(signature(s, mult, add))
+                mixed = mix(np.stack(sigs).astype(np.uint64))
+                empty = np.array(n) == 0
+                keys = bucket_keys(mixed[:, : chunks * CHUNK] & np.uint64((1 << BITS) - 1), chunks).view(np.int64)
+                bits = np.packbits((mixed >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
+                lists = [pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * t.shape[1], pa.array(t.ravel()), mask=pa.array(empty)) for t in (keys, bits)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *lists], names=["doc_id", "n", "digest", "keys", "bits"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>, bits array<long>")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -143,12 +145,19 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    found = Saved(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+    with small_batches(docs.sparkSession):
+        found = Saved(joined.mapInArrow(run, "a long, b long").distinct(), "links")
     sets.drop()
     ids.drop()
     return found.df
 
 
+def _near(x: str, y: str, percent: int, most: int) -> Column:
+    """What the sizes and bits of two documents at the threshold meet."""
+    differ = sum((F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}"))) for i in range(1, WORDS)), F.bit_count(F.col(f"{x}.b0").bitwiseXOR(F.col(f"{y}.b0"))))
+    return (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * percent) & (differ <= most)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Every row of `docs` (doc_id, text; other columns are ignored) with its group of near-duplicates.
 
@@ -165,31 +174,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ship(spark)
     threshold = percent / 100
     chunks = plan(threshold)
-    alike = fewest_equal(threshold, chunks * CHUNK)
     made = Saved(sketches(docs, width, chunks), "sketch")
     worded = made.df.where("digest is not null and doc_id is not null")
-    classes = Saved(worded.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "classes")
+    one = worded.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "keys", "bits")).alias("s"))
+    classes = Saved(one.select("digest", "rep", "s.n", "s.keys", *[F.col("s.bits")[i].alias(f"b{i}") for i in range(WORDS)]), "classes")
+    about = F.struct("rep", "n", *[f"b{i}" for i in range(WORDS)])
 
-    posted = classes.df.select(F.explode("keys").alias("key"), "rep", "n")
-    shared = Saved(posted.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("least"), F.max("rep").alias("most")).where("least.rep < most").select("key", "least"), "buckets")
+    posted = classes.df.select(F.explode("keys").alias("key"), about.alias("own"))
+    shared = posted.groupBy("key").agg(F.min("own").alias("least"), F.max("own.rep").alias("most")).where("least.rep < most")
+    shared = Saved(shared.select("key", "least"), "buckets")
     # Only members of buckets with two classes or more go on; these are few where copies are few.
     members = Saved(posted.join(shared.df, "key"), "members")
-    near = (F.least("n", "least.n") * 100 >= F.greatest("n", "least.n") * percent) & (F.col("rep") != F.col("least.rep"))
-    star = Saved(members.df.where(near).select(F.col("least.rep").alias("a"), F.col("rep").alias("b")).distinct(), "star")
+    star = members.df.where((F.col("own.rep") != F.col("least.rep")) & _near("own", "least", percent, far(threshold)))
+    star = Saved(star.select(F.col("least.rep").alias("a"), F.col("own.rep").alias("b")).distinct(), "star")
     links = _confirmed(star.df, docs, width, percent)
     first = Saved(components(links), "first")
 
-    # What is left of a bucket: members in different components.
-    placed = members.df.select("key", "rep", "n").join(first.df, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    # What is left of a bucket: members in different components. A pair is emitted by the bucket of its least common key.
+    placed = members.df.select("key", "own").join(first.df, F.col("own.rep") == F.col("node"), "left").select("key", "own", F.coalesce("component", "own.rep").alias("c"))
     placed = Saved(placed, "placed")
-    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size")).where("c0 < c1")
-    rest = placed.df.join(split.select("key"), "key", "left_semi").join(classes.df.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "n", "c", "sig")
-    rest = Saved(rest, "rest")
+    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1")
+    rest = Saved(placed.df.join(split.select("key"), "key", "left_semi").join(classes.df.select(F.col("rep").alias("r"), "keys"), F.col("own.rep") == F.col("r")).select("key", "own", "c", "keys"), "rest")
     x, y = rest.df.alias("x"), rest.df.alias("y")
-    equal = F.size(F.filter(F.zip_with("x.sig", "y.sig", lambda p, q: p == q), lambda same: same))
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))
-    on = on & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (equal >= alike)
-    cross = x.join(y, on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.own.rep") < F.col("y.own.rep")) & (F.col("x.c") != F.col("y.c"))
+    on = on & _near("x.own", "y.own", percent, far(threshold)) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
+    cross = x.join(y, on).select(F.col("x.own.rep").alias("a"), F.col("y.own.rep").alias("b")).distinct()
     cross = Saved(cross.join(star.df, ["a", "b"], "left_anti"), "cross")
     more = _confirmed(cross.df, docs, width, percent)
     # Components of components: the first round's labels stand for its links.
