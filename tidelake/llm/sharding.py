@@ -23,6 +23,8 @@ KEY_BITS = VALUE_BITS + TEXT_BITS + ID_BITS
 CLOSE = 1e-6
 #: A cut spares a group of equal texts of under this share of a shard's bytes.
 GROUP_SLACK = 0.005
+#: Groups of copies with differing metadata are broadcast up to so many, 32 MB; beyond, they are shuffled.
+BROADCAST_GROUPS = 1_000_000
 
 
 @dataclass
@@ -62,8 +64,9 @@ def _grouped(meta: DataFrame, dims: int) -> DataFrame:
     for d in names:
         differ = differ | (F.col(f"least_{d}") < F.col(f"most_{d}"))
     groups = meta.groupBy("same").agg(*[f(d).alias(f"{n}_{d}") for d in names for n, f in (("least", F.min), ("most", F.max))]).where(differ)
-    groups = groups.select(F.col("same").alias("other"), *[f"least_{d}" for d in names])
-    joined = meta.join(groups, F.col("same") == F.col("other"), "left")
+    groups = Saved(groups.select(F.col("same").alias("other"), *[f"least_{d}" for d in names]), "groups").df
+    small = groups.count() <= BROADCAST_GROUPS
+    joined = meta.join(F.broadcast(groups) if small else groups, F.col("same") == F.col("other"), "left")
     return joined.select("doc_id", "size", "text_crc32", "tail", *[F.coalesce(f"least_{d}", d).alias(d) for d in names])
 
 
