@@ -15,20 +15,20 @@ from pyspark.sql import types as T
 from ..functions import predicate as language
 from ..plans.options import WriteSpec
 from ..plans.pruning import MOST_VALUES, distinct_values
-from ..sources.snapshot import Snapshot, nullable
+from ..sources.snapshot import Snapshot, nullable, spare
 
-ORDER = "__order"
 
 
-def last_rows(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """One row per key, that with the greatest order. A key of very many rows is reduced before the shuffle."""
-    rest = [c for c in df.columns if c not in keys and c != ORDER]
+def last_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per key, that with the greatest value of the column `order`. A key of very many rows is reduced before the shuffle."""
+    rest = [c for c in df.columns if c not in keys and c != order]
     quoted = [F.col(f"`{k}`") for k in keys]
     if not rest:
         return df.select(*quoted).distinct()
-    packed = df.select(*quoted, order.alias(ORDER), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"))
-    last = packed.groupBy(*quoted).agg(F.max_by("__row", ORDER).alias("__row"))
-    return last.select(*quoted, *[F.col(f"__row.`{c}`").alias(c) for c in rest])
+    whole = spare("__whole", df.columns)
+    packed = df.select(*quoted, F.col(order), F.struct(*[F.col(f"`{c}`") for c in rest]).alias(whole))
+    last = packed.groupBy(*quoted).agg(F.max_by(whole, order).alias(whole))
+    return last.select(*quoted, *[F.col(f"{whole}.`{c}`").alias(c) for c in rest])
 
 
 @dataclass
@@ -39,7 +39,8 @@ class MergePlan:
     source: DataFrame  # one row per key
 
     def __post_init__(self):
-        self.named = {c: f"__s{i}" for i, c in enumerate(self.source.columns)}
+        prefix = spare("__s", [*self.schema.names, self.snapshot.file_column])
+        self.named = {c: f"{prefix}{i}" for i, c in enumerate(self.source.columns)}
         self.incoming = self.source.select(*[F.col(f"`{c}`").alias(n) for c, n in self.named.items()])
         self.parts = language.check(self.spec.merge_predicate, self.schema.names, self.source.columns) if self.spec.merge_predicate is not None else None
 
@@ -86,9 +87,9 @@ class MergePlan:
         """Files with a row that matches; none need a rewrite where all incoming columns are keys."""
         if not candidates or set(self.source.columns) <= set(self.spec.keys):
             return []
-        found = self.target(candidates, with_file=True).join(self.incoming, self.on(), "left_semi").select("__file").distinct().collect()  # at most one row a file
+        found = self.target(candidates, with_file=True).join(self.incoming, self.on(), "left_semi").select(self.snapshot.file_column).distinct().collect()  # at most one row a file
         uris = self.snapshot.uris(candidates)
-        return [uris[r["__file"]] for r in found]
+        return [uris[r[0]] for r in found]
 
     def result(self, candidates: list[dict], touched: list[dict]) -> DataFrame:
         """The rows of the touched files, updated, and the rows that matched nothing."""

@@ -15,7 +15,7 @@ from ..plans.options import WriteSpec
 from ..plans.reconcile import check_incoming, reconcile
 from ..sources import log
 from ..sources.files import files_of
-from ..sources.snapshot import Snapshot
+from ..sources.snapshot import Snapshot, spare
 from . import merge as merging
 from . import staging
 from .telemetry import WriteStats
@@ -133,10 +133,10 @@ class WriteSession:
         version = self._publish(self._staged(df) if rows else None, removed, "WRITE", {"mode": "Overwrite"}, blind=self.keep_concurrent)
         return WriteResult(rows, len(self.frames), version)
 
-    def _order(self, df: DataFrame, ordinal: int) -> DataFrame:
+    def _ordered(self, df: DataFrame, ordinal: int, name: str) -> DataFrame:
         """Later frames win; within a frame, order_by if given, else the order in which Spark reads the rows."""
         inner: list[Column] = [F.col(f"`{c}`") for c in self.order_by or []]
-        return df.withColumn(merging.ORDER, F.struct(F.lit(ordinal).alias("frame"), *[c.alias(f"o{i}") for i, c in enumerate(inner)], F.monotonically_increasing_id().alias("row")))
+        return df.withColumn(name, F.struct(F.lit(ordinal).alias("frame"), *[c.alias(f"o{i}") for i, c in enumerate(inner)], F.monotonically_increasing_id().alias("row")))
 
     def _merge(self) -> WriteResult:
         if not self.frames:
@@ -144,14 +144,15 @@ class WriteSession:
         rows = self._guarded(self._all(), self.spec.keys)
         if not rows and not self._metadata():
             return WriteResult(0, len(self.frames), None)
-        numbered = [self._order(df, i) for i, df in enumerate(self.frames)]
+        order = spare("__order", self.incoming.names)
+        numbered = [self._ordered(df, i, order) for i, df in enumerate(self.frames)]
         joined = numbered[0]
         for more in numbered[1:]:
             joined = joined.unionByName(more)
         once = f"{staging.STAGING}/{uuid.uuid4().hex}"
         path = f"{self.root.rstrip('/')}/{once}"
         try:
-            merging.last_rows(joined, self.spec.keys, F.col(merging.ORDER)).write.parquet(path)
+            merging.last_rows(joined, self.spec.keys, order).write.parquet(path)
             last = self.spark.read.schema(self.incoming).parquet(path).select(*[F.col(f"`{c}`") for c in self.incoming.names])
             plan = merging.MergePlan(self.snapshot, self.schema, self.spec, last)
             candidates = plan.candidates()

@@ -50,6 +50,11 @@ class Snapshot:
     def files(self) -> list[dict]:
         return list(self.state.files.values())
 
+    @property
+    def file_column(self) -> str:
+        """What a scan calls the file of a row."""
+        return spare("__file", self.schema.names)
+
     def num_records(self) -> int | None:
         """Rows by the log alone; None where a file has no statistics."""
         total = 0
@@ -93,10 +98,11 @@ class Snapshot:
         """
         files = self.files if files is None else files
         schema = nullable(self.schema)
-        file = [F.col("_metadata.file_path").alias("__file")] if with_file else []
+        name = self.file_column
+        file = [F.col("_metadata.file_path").alias(name)] if with_file else []
         if not files:
             empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("__file", F.lit(None).cast("string")) if with_file else empty
+            return empty.withColumn(name, F.lit(None).cast("string")) if with_file else empty
         paths = [f"{self.root.rstrip('/')}/{a['path']}" if "://" not in a["path"] else a["path"] for a in files]
         paths = [_hadoop(unquote(p)) for p in paths]
         if all(folder_says(a, self.partition_columns) for a in files):
@@ -104,13 +110,14 @@ class Snapshot:
             return df.select(*[F.col(f"`{c}`") for c in schema.names], *file)
         kinds = {f.name: f.dataType for f in schema.fields}
         body = T.StructType([f for f in schema.fields if f.name not in self.partition_columns])
-        rows = self.spark.read.schema(body).option("recursiveFileLookup", "true").parquet(*paths).select("*", F.col("_metadata.file_path").alias("__file"))
+        rows = self.spark.read.schema(body).option("recursiveFileLookup", "true").parquet(*paths).select("*", F.col("_metadata.file_path").alias(name))
         keyed = [(uri, *[a["partitionValues"].get(c) for c in self.partition_columns]) for uri, a in self.uris(files).items()]
-        names = ["__uri", *[f"__p{i}" for i in range(len(self.partition_columns))]]
+        part = spare("__p", [*schema.names, name])
+        names = [f"{part}u", *[f"{part}{i}" for i in range(len(self.partition_columns))]]
         values = self.spark.createDataFrame(keyed, ", ".join(f"{n} string" for n in names))  # a row for each file
-        joined = rows.join(F.broadcast(values), F.col("__file") == F.col("__uri"))
-        cols = [F.col(f"__p{self.partition_columns.index(c)}").cast(kinds[c]).alias(c) if c in self.partition_columns else F.col(f"`{c}`") for c in schema.names]
-        return joined.select(*cols, *([F.col("__file")] if with_file else []))
+        joined = rows.join(F.broadcast(values), F.col(name) == F.col(names[0]))
+        cols = [F.col(names[1 + self.partition_columns.index(c)]).cast(kinds[c]).alias(c) if c in self.partition_columns else F.col(f"`{c}`") for c in schema.names]
+        return joined.select(*cols, *([F.col(name)] if with_file else []))
 
     def uris(self, files: list[dict]) -> dict[str, dict]:
         """Files by the name that a scan's _metadata.file_path gives them."""
@@ -126,6 +133,14 @@ def _hadoop(path: str) -> str:
     return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
 
 
+def spare(wanted: str, taken: Iterable[str]) -> str:
+    """A name that no column begins with, in any case."""
+    lower = [t.lower() for t in taken]
+    while any(t.startswith(wanted) for t in lower):
+        wanted += "_"
+    return wanted
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
