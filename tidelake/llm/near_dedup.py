@@ -9,15 +9,18 @@ meet are held to a second distance: one bit of each MinHash, for which a pair at
 chance of 1e-6. What passes is confirmed on the full sets.
 
 No bucket emits all its pairs. First, documents with equal shingle sets become one class. Then each bucket ties its members to its
-least one and the ties are confirmed; after that, members of one component need no further comparison, and only pairs of one
-bucket that lie in different components are compared, inside the join, under the conditions on sizes and bits; each is
-emitted by one of the buckets it shares. Components are found once more over all confirmed links.
+least one and the ties are confirmed; after that, members of one component need no further comparison. Pairs of one bucket that lie in
+different components are left. Buckets with up to SMALL members compare them inside a join, under the conditions on sizes and
+bits, and each pair is emitted by one of the buckets it shares. The members of larger buckets, joined up where buckets
+overlap, are cut into tiles of at most TILE documents of similar size; tiles are compared two at a time, where their sizes allow, and
+return only links that keep a component together, so a crowd of similar texts that are not linked gives no rows. Components are found once
+more over all confirmed links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..deploy import ship
-from .common import Saved, binary_list, mix, small_batches, word_hashes
+from .common import Saved, binary_list, mix, numbered, small_batches, word_hashes
 from .components import components
 
 CHUNK, MISS, BITS, MINHASHES = 5, 2e-5, 16, 256
 WORDS = MINHASHES // 64
+SMALL, TILE, SIZE_STEP = 64, 256, 1.08
 #: Ids of candidate documents are broadcast up to so many, 32 MB; beyond, they are shuffled.
 BROADCAST_IDS = 4_000_000
 
@@ -127,12 +131,20 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, items binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full sets meet the threshold."""
-    ids = Saved(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> Saved:
+    """(id, items) of the documents with these ids: their whole sets."""
+    ids = Saved(ids.distinct(), "ids")
     small = ids.df.count() <= BROADCAST_IDS
     wanted = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids.df) if small else ids.df, "id", "left_semi")
-    sets = Saved(_sets(wanted, width), "sets")
+    with small_batches(docs.sparkSession):
+        sets = Saved(_sets(wanted, width), "sets")
+    ids.drop()
+    return sets
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose full sets meet the threshold."""
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), docs, width)
     left, right = sets.df.withColumnRenamed("id", "a").withColumnRenamed("items", "x"), sets.df.withColumnRenamed("id", "b").withColumnRenamed("items", "y")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,10 +160,107 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     with small_batches(docs.sparkSession):
         found = Saved(joined.mapInArrow(run, "a long, b long").distinct(), "links")
     sets.drop()
-    ids.drop()
     return found.df
 
 
+_TILE = "g long, tile long, lo long, hi long, c0 long, c1 long, ids binary, n binary, c binary, bits binary, ends binary, items binary"
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """Packs members (g, kind, part, n, id, c, bits, items) of the same g, kind and part, at most TILE, into one row."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        n, ids, c = (table[k].to_numpy() for k in ("n", "id", "c"))
+        items = table["items"].to_pylist()
+        bits = np.array(table["bits"].to_pylist(), np.int64)
+        cols = [table["g"][0].as_py(), int(ids.min()), int(n.min()), int(n.max()), int(c.min()), int(c.max()), ids.tobytes(), n.tobytes(), c.tobytes(), bits.tobytes(), np.cumsum([len(x) // 8 for x in items]).tobytes(), b"".join(items)]
+        return pa.table([pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()) for v in cols], names=["g", "tile", "lo", "hi", "c0", "c1", "ids", "n", "c", "bits", "ends", "items"])
+
+    return members.groupBy("g", "kind", "part").applyInArrow(pack, _TILE)
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of x with all of y."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    shared = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    at = lambda sets: [p[shared[np.minimum(p, len(shared) - 1)] == s] for s in sets for p in [np.searchsorted(shared, s)]] if len(shared) else [[] for _ in sets]
+    px, py = at(x), at(y)
+    for first in range(0, len(shared), 8192):
+        width = min(8192, len(shared) - first)
+        sides = []
+        for places in (px, py):
+            m = np.zeros((len(places), width), np.float32)
+            for i, p in enumerate(places):
+                q = p[(p >= first) & (p < first + width)] - first
+                m[i, q] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _compared(pairs: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links (a, b) that keep the components of each pair of tiles together."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for r in range(batch.num_rows):
+                get = lambda name, kind=np.int64: np.frombuffer(batch.column(name)[r].as_buffer(), kind)  # noqa: E731, B023
+                ids, n, c, bits = ([get(f"{k}_{s}") for s in "ab"] for k in ("ids", "n", "c", "bits"))
+                words = [b.reshape(-1, WORDS).view(np.uint64) for b in bits]
+                differ = sum(np.bitwise_count(words[0][:, None, w] ^ words[1][None, :, w]).astype(np.int16) for w in range(WORDS))
+                sizes = n[0][:, None], n[1][None, :]
+                maybe = (differ <= most) & (c[0][:, None] != c[1][None, :]) & (100 * np.minimum(*sizes) >= percent * np.maximum(*sizes))
+                if batch.column("a")[r] == batch.column("b")[r]:
+                    maybe = np.triu(maybe, 1)
+                i, j = np.nonzero(maybe)
+                if not len(i):
+                    continue
+                sets = [np.split(get(f"items_{s}", np.uint64), get(f"ends_{s}")[:-1]) for s in "ab"]
+                if len(i) > 1000:
+                    both = overlaps(*sets)[i, j].astype(np.int64)
+                else:
+                    both = np.array([len(np.intersect1d(sets[0][p], sets[1][q], assume_unique=True)) for p, q in zip(i, j)])
+                sure = 100 * both >= percent * (n[0][i] + n[1][j] - both)
+                parent: dict[int, int] = {}
+
+                def root(v: int) -> int:
+                    while parent.setdefault(v, v) != v:  # noqa: B023
+                        parent[v] = v = parent[parent[v]]  # noqa: B023
+                    return v
+
+                links = []
+                for p, q in zip(i[sure], j[sure]):  # links within a component of this pair of tiles add nothing
+                    u, v = root(int(c[0][p])), root(int(c[1][q]))
+                    if u != v:
+                        parent[u] = v
+                        links.append((int(ids[0][p]), int(ids[1][q])))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def _tiled(crowd: DataFrame, docs: DataFrame, width: int, percent: int, most: int) -> DataFrame:
+    """Links between members (g, id, n, c, bits) of the same g in different components."""
+    spark = docs.sparkSession
+    sets = _sets_of(crowd.select("id"), docs, width)
+    kind = F.floor(F.log(F.col("n").cast("double")) / log(SIZE_STEP)).cast("int")
+    placed = numbered(crowd.withColumn("kind", kind), ["g", "kind"], ["id"], "at").withColumn("part", F.floor(F.col("at") / TILE)).drop("at")
+    tiles = Saved(_tiles(placed.join(sets.df, "id")), "tiles")
+    sets.drop()
+    about = tiles.df.select("g", "tile", "lo", "hi", "c0", "c1")
+    a, b = about.alias("a"), about.alias("b")
+    fit = (F.least("a.hi", "b.hi") * 100 >= F.greatest("a.lo", "b.lo") * percent) & ~((F.col("a.c0") == F.col("a.c1")) & (F.col("b.c0") == F.col("b.c1")) & (F.col("a.c0") == F.col("b.c0")))
+    wanted = Saved(a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.tile") <= F.col("b.tile")) & fit).select(F.col("a.g").alias("g"), F.col("a.tile").alias("a"), F.col("b.tile").alias("b")), "wanted")
+    side = lambda s: tiles.df.select("g", F.col("tile").alias(s), *[F.col(k).alias(f"{k}_{s}") for k in ("ids", "n", "c", "bits", "ends", "items")])
+    joined = wanted.df.join(side("a"), ["g", "a"]).join(side("b"), ["g", "b"])
+    with small_batches(spark, 2):
+        out = Saved(_compared(joined, percent, most), "tilelinks")
+    tiles.drop()
+    wanted.drop()
+    return out.df
+
+
 def _near(x: str, y: str, percent: int, most: int) -> Column:
     """What the sizes and bits of two documents at the threshold meet."""
     differ = sum((F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}"))) for i in range(1, WORDS)), F.bit_count(F.col(f"{x}.b0").bitwiseXOR(F.col(f"{y}.b0"))))
@@ -193,14 +302,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # What is left of a bucket: members in different components. A pair is emitted by the bucket of its least common key.
     placed = members.df.select("key", "own").join(first.df, F.col("own.rep") == F.col("node"), "left").select("key", "own", F.coalesce("component", "own.rep").alias("c"))
     placed = Saved(placed, "placed")
-    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1")
-    rest = Saved(placed.df.join(split.select("key"), "key", "left_semi").join(classes.df.select(F.col("rep").alias("r"), "keys"), F.col("own.rep") == F.col("r")).select("key", "own", "c", "keys"), "rest")
-    x, y = rest.df.alias("x"), rest.df.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.own.rep") < F.col("y.own.rep")) & (F.col("x.c") != F.col("y.c"))
-    on = on & _near("x.own", "y.own", percent, far(threshold)) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
+    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"), F.min("own.rep").alias("first")).where("c0 < c1").select("key", "size", "first")
+    rest = Saved(placed.df.join(split, "key").select("key", "own", "c", "size", "first"), "rest")
+    large = rest.df.where(F.col("size") > SMALL)
+    groups = Saved(components(large.select(F.col("own.rep").alias("a"), F.col("first").alias("b"))), "groups")
+    most = far(threshold)
+    crowd = large.select("own", "c").distinct().join(groups.df.select(F.col("node"), F.col("component").alias("g")), F.col("own.rep") == F.col("node"))
+    crowd = Saved(crowd.select("g", F.col("own.rep").alias("id"), F.col("own.n").alias("n"), "c", F.array(*[F.col(f"own.b{i}") for i in range(WORDS)]).alias("bits")), "crowd")
+    tiled = _tiled(crowd.df, docs, width, percent, most)
+
+    few = rest.df.where(F.col("size") <= SMALL).join(classes.df.select(F.col("rep").alias("r"), "keys"), F.col("own.rep") == F.col("r"))
+    few = few.join(groups.df.select("node", F.col("component").alias("g")), F.col("own.rep") == F.col("node"), "left").select("key", "own", "c", "keys", "g")
+    few = Saved(few, "few")
+    x, y = few.df.alias("x"), few.df.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.own.rep") < F.col("y.own.rep")) & (F.col("x.c") != F.col("y.c")) & F.coalesce(F.col("x.g") != F.col("y.g"), F.lit(True))
+    on = on & _near("x.own", "y.own", percent, most) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
     cross = x.join(y, on).select(F.col("x.own.rep").alias("a"), F.col("y.own.rep").alias("b")).distinct()
     cross = Saved(cross.join(star.df, ["a", "b"], "left_anti"), "cross")
-    more = _confirmed(cross.df, docs, width, percent)
+    more = _confirmed(cross.df, docs, width, percent).unionByName(tiled)
     # Components of components: the first round's labels stand for its links.
     ends = more
     for end in ("a", "b"):
@@ -210,7 +329,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labels = labels.join(second.df, F.col("c") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "c").alias("label"))
     labels = Saved(labels, "labels")
     out = Saved(made.df.select("doc_id", "n", "digest").join(labels.df, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")), "near")
-    for table in (made, classes, shared, members, star, first, placed, rest, cross, second, labels):
+    for table in (made, classes, shared, members, star, first, placed, rest, groups, crowd, few, cross, second, labels):
         table.drop()
     return out.df.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
