@@ -106,8 +106,8 @@ def translate(error: BaseException, kind: str, operation: str, keys: list[str] |
         return error
     if isinstance(error, (Cancelled, KeyboardInterrupt)):
         raise error
-    text = redact(str(error))
-    low = text.lower()
+    text = redact(_without_trace(str(error)))
+    low = redact("\n".join(map(_without_trace, _causes(error)))).lower()
     written = kind != "read"
     names = ", ".join(keys or [])
 
@@ -137,5 +137,23 @@ def translate(error: BaseException, kind: str, operation: str, keys: list[str] |
     return LakeError(READ_FAILED, f"{operation}: {text}", "check that the location holds a table")
 
 
+def _without_trace(message: str) -> str:
+    """A message without the stack that the JVM prints below it, whose class names tell nothing."""
+    return "\n".join(x for x in message.splitlines() if not re.match(r"\s*(at [\w.$/]+\(|\.\.\. \d+ more)", x))
+
+
+def _causes(error: BaseException) -> list[str]:
+    """The messages of an error and of what caused it, on the JVM's side too. They tell the kind; only the first is shown."""
+    out = [str(error)]
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    try:
+        while java is not None and len(out) < 12:
+            out.append(str(java.getMessage()))
+            java = java.getCause()
+    except Exception:  # a proxy whose session has gone has no more to say
+        pass
+    return out + [str(e) for e in (error.__cause__, error.__context__) if e is not None]
+
+
 def _is_analysis(error: BaseException) -> bool:
     return type(error).__name__ in {"AnalysisException", "ParseException", "NumberFormatException", "ArithmeticException", "IllegalArgumentException"}

@@ -98,10 +98,20 @@ class WriteSession:
     def _staged(self, df: DataFrame) -> staging.Staged:
         return staging.stage(df, self.files, self.root, self.snapshot.partition_columns, self.spec.target_file_bytes)
 
-    def _guarded(self, df: DataFrame, keys: list[str]) -> int:
-        found = guards.examine(df, self.schema, self.snapshot.partition_columns, keys)
-        guards.enforce(found)
-        return found.rows
+    def _watched(self, df: DataFrame) -> staging.Staged:
+        """Stage a frame and refuse what the guards saw in it; a refusal leaves no file."""
+        watch = guards.Watch(self.schema, self.snapshot.partition_columns, [])
+        try:
+            staged = self._staged(watch.on(df))
+        except Exception:
+            guards.enforce(watch.ask(df))  # a folder's name may have been too long, which file systems tell in many ways
+            raise
+        try:
+            guards.enforce(watch.findings())
+        except errors.LakeError:
+            self.files.delete(staged.folder)
+            raise
+        return staged
 
     def _publish(self, staged: staging.Staged | None, removed: list[dict], operation: str, parameters: dict, blind: bool) -> int:
         self.stats.tried()
@@ -115,12 +125,12 @@ class WriteSession:
     def _append(self) -> WriteResult:
         if not self.frames:
             return WriteResult(0, 0, None)
-        df = merging.frame_in(self.schema, self._all())
-        rows = self._guarded(df, [])
-        if not rows and not self._metadata():
+        staged = self._watched(merging.frame_in(self.schema, self._all()))
+        if not staged.entries and not self._metadata():
+            self.files.delete(staged.folder)
             return WriteResult(0, len(self.frames), None)
-        version = self._publish(self._staged(df), [], "WRITE", {"mode": "Append"}, blind=True)
-        return WriteResult(rows, len(self.frames), version)
+        version = self._publish(staged, [], "WRITE", {"mode": "Append"}, blind=True)
+        return WriteResult(staged.rows, len(self.frames), version)
 
     def _replace(self) -> WriteResult:
         """All files of the version that the session saw go; without a frame nothing takes their place."""
@@ -128,10 +138,9 @@ class WriteSession:
         if not self.frames:
             version = self._publish(None, removed, "DELETE", {}, blind=self.keep_concurrent)
             return WriteResult(0, 0, version)
-        df = merging.frame_in(self.schema, self._all())
-        rows = self._guarded(df, [])
-        version = self._publish(self._staged(df) if rows else None, removed, "WRITE", {"mode": "Overwrite"}, blind=self.keep_concurrent)
-        return WriteResult(rows, len(self.frames), version)
+        staged = self._watched(merging.frame_in(self.schema, self._all()))
+        version = self._publish(staged, removed, "WRITE", {"mode": "Overwrite"}, blind=self.keep_concurrent)
+        return WriteResult(staged.rows, len(self.frames), version)
 
     def _ordered(self, df: DataFrame, ordinal: int, name: str) -> DataFrame:
         """Later frames win; within a frame, order_by if given, else the order in which Spark reads the rows."""
@@ -141,9 +150,7 @@ class WriteSession:
     def _merge(self) -> WriteResult:
         if not self.frames:
             return WriteResult(0, 0, None)
-        rows = self._guarded(self._all(), self.spec.keys)
-        if not rows and not self._metadata():
-            return WriteResult(0, len(self.frames), None)
+        watch = guards.Watch(self.schema, self.snapshot.partition_columns, self.spec.keys)
         order = spare("__order", self.incoming.names)
         numbered = [self._ordered(df, i, order) for i, df in enumerate(self.frames)]
         joined = numbered[0]
@@ -152,7 +159,12 @@ class WriteSession:
         once = f"{staging.STAGING}/{uuid.uuid4().hex}"
         path = f"{self.root.rstrip('/')}/{once}"
         try:
-            merging.last_rows(joined, self.spec.keys, order).write.parquet(path)
+            merging.last_rows(watch.on(joined), self.spec.keys, order).write.parquet(path)
+            found = watch.findings()
+            guards.enforce(found)
+            rows = found.rows
+            if not rows and not self._metadata():
+                return WriteResult(0, len(self.frames), None)
             last = self.spark.read.schema(self.incoming).parquet(path).select(*[F.col(f"`{c}`") for c in self.incoming.names])
             plan = merging.MergePlan(self.snapshot, self.schema, self.spec, last)
             candidates = plan.candidates()

@@ -1,10 +1,10 @@
-"""Checks of values, all taken from one aggregate over the whole input."""
+"""Checks of values, observed while the whole input is written, so that they cost no pass of their own."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,24 +31,41 @@ def _escaped_bytes(column: str) -> Column:
     return F.octet_length(text) + 2 * (F.octet_length(text) - kept) + len(column.encode()) + 1
 
 
-def examine(df: DataFrame, schema: T.StructType, partitions: list[str], keys: list[str]) -> Findings:
-    """One job: the rows, and for each rule whether a row breaks it."""
-    asked: dict[str, Column] = {}
-    for p in partitions:
-        kind = schema[p].dataType
-        if isinstance(kind, (T.StringType, T.BinaryType)):
-            asked[f"empty:{p}"] = _any(F.length(f"`{p}`") == 0)
-        asked[f"long:{p}"] = _any(_escaped_bytes(p) > NAME_BYTES)
-    for k in keys:
-        asked[f"null:{k}"] = _any(F.col(f"`{k}`").isNull())
-        if isinstance(schema[k].dataType, (T.FloatType, T.DoubleType)):
-            asked[f"nan:{k}"] = _any(F.isnan(f"`{k}`"))
-    for f in schema.fields:
-        if not f.nullable and f.name in df.columns:
-            asked[f"required:{f.name}"] = _any(F.col(f"`{f.name}`").isNull())
-    names = list(asked)
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *[asked[n].alias(f"g{i}") for i, n in enumerate(names)]).first()
-    return Findings(row["rows"], {n: bool(row[f"g{i}"]) for i, n in enumerate(names)})
+class Watch:
+    """For each rule, whether a row breaks it; known once the frame that `on` returns has been written."""
+
+    def __init__(self, schema: T.StructType, partitions: list[str], keys: list[str]):
+        self.schema, self.partitions, self.keys = schema, partitions, keys
+        self.seen = Observation()
+
+    def _asked(self, df: DataFrame) -> list[Column]:
+        asked: dict[str, Column] = {}
+        for p in self.partitions:
+            if isinstance(self.schema[p].dataType, (T.StringType, T.BinaryType)):
+                asked[f"empty:{p}"] = _any(F.length(f"`{p}`") == 0)
+            asked[f"long:{p}"] = _any(_escaped_bytes(p) > NAME_BYTES)
+        for k in self.keys:
+            asked[f"null:{k}"] = _any(F.col(f"`{k}`").isNull())
+            if isinstance(self.schema[k].dataType, (T.FloatType, T.DoubleType)):
+                asked[f"nan:{k}"] = _any(F.isnan(f"`{k}`"))
+        for f in self.schema.fields:
+            if not f.nullable and f.name in df.columns:
+                asked[f"required:{f.name}"] = _any(F.col(f"`{f.name}`").isNull())
+        self.rules = list(asked)
+        return [F.count(F.lit(1)).alias("rows"), *[asked[n].alias(f"g{i}") for i, n in enumerate(self.rules)]]
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *self._asked(df))
+
+    def findings(self) -> Findings:
+        return self._found(self.seen.get)
+
+    def ask(self, df: DataFrame) -> Findings:
+        """The same by a job of its own: for a write that failed, to tell why."""
+        return self._found(df.agg(*self._asked(df)).first().asDict())
+
+    def _found(self, row: dict) -> Findings:
+        return Findings(row["rows"], {n: bool(row[f"g{i}"]) for i, n in enumerate(self.rules)})
 
 
 def enforce(found: Findings) -> None:

@@ -6,14 +6,25 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
+from .sources.files import files_of
+
 _own: dict[str, str] = {}
 
 
+def _clean(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the application may be gone already
+        files_of(spark, path).delete("")
+
+
 def fresh_root(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place of spark.checkpoint.dir; in a temporary one of ours only where that is unset."""
+    """A new folder in the shared place of spark.checkpoint.dir; in a temporary one of ours only where that is unset.
+
+    It goes when the driver ends.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         app = spark.sparkContext.applicationId
@@ -21,4 +32,6 @@ def fresh_root(spark: SparkSession, name: str) -> str:
             _own[app] = tempfile.mkdtemp(prefix="tidelake-")
             atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
         base = _own[app]
-    return f"{base.rstrip('/')}/lakes/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/lakes/{name}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_clean, spark, path)
+    return path
