@@ -37,6 +37,8 @@ WORDS = MINHASHES // 64
 SMALL, TILE, SIZE_STEP = 64, 256, 1.08
 #: Ids of candidate documents are broadcast up to so many, 32 MB; beyond, they are shuffled.
 BROADCAST_IDS = 4_000_000
+#: Keys of buckets with two classes or more, each with a document, are broadcast up to so many, 16 MB; beyond, they are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 
 def plan(threshold: float) -> int:
@@ -286,38 +288,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     made = Saved(sketches(docs, width, chunks), "sketch")
     worded = made.df.where("digest is not null and doc_id is not null")
     one = worded.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "keys", "bits")).alias("s"))
-    classes = Saved(one.select("digest", "rep", "s.n", "s.keys", *[F.col("s.bits")[i].alias(f"b{i}") for i in range(WORDS)]), "classes")
-    about = F.struct("rep", "n", *[f"b{i}" for i in range(WORDS)])
-
-    posted = classes.df.select(F.explode("keys").alias("key"), about.alias("own"))
-    shared = posted.groupBy("key").agg(F.min("own").alias("least"), F.max("own.rep").alias("most")).where("least.rep < most")
+    bits = [f"b{i}" for i in range(WORDS)]
+    classes = Saved(one.select("digest", "rep", "s.n", "s.keys", *[F.col("s.bits")[i].alias(b) for i, b in enumerate(bits)]), "classes").df
+    rows = Saved(made.df.select("doc_id", "n", "digest"), "rows")
+    made.drop()
+    about = lambda side: classes.select(F.col("rep").alias(side), F.struct("n", *bits).alias(f"{side}_is"))
+
+    posted = classes.select(F.explode("keys").alias("key"), "rep")
+    shared = posted.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     shared = Saved(shared.select("key", "least"), "buckets")
     # Only members of buckets with two classes or more go on; these are few where copies are few.
-    members = Saved(posted.join(shared.df, "key"), "members")
-    star = members.df.where((F.col("own.rep") != F.col("least.rep")) & _near("own", "least", percent, far(threshold)))
-    star = Saved(star.select(F.col("least.rep").alias("a"), F.col("own.rep").alias("b")).distinct(), "star")
+    few_keys = shared.df.count() <= BROADCAST_KEYS
+    members = Saved(posted.join(F.broadcast(shared.df) if few_keys else shared.df, "key"), "members")
+    ties = members.df.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
+    star = Saved(ties.join(about("a"), "a").join(about("b"), "b").where(_near("a_is", "b_is", percent, far(threshold))).select("a", "b"), "star")
     links = _confirmed(star.df, docs, width, percent)
     first = Saved(components(links), "first")
 
     # What is left of a bucket: members in different components. A pair is emitted by the bucket of its least common key.
-    placed = members.df.select("key", "own").join(first.df, F.col("own.rep") == F.col("node"), "left").select("key", "own", F.coalesce("component", "own.rep").alias("c"))
+    placed = members.df.select("key", "rep").join(first.df, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
     placed = Saved(placed, "placed")
-    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"), F.min("own.rep").alias("first")).where("c0 < c1").select("key", "size", "first")
-    rest = Saved(placed.df.join(split, "key").select("key", "own", "c", "size", "first"), "rest")
+    split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"), F.min("rep").alias("first")).where("c0 < c1").select("key", "size", "first")
+    rest = Saved(placed.df.join(split, "key").select("key", "rep", "c", "size", "first"), "rest")
     large = rest.df.where(F.col("size") > SMALL)
-    groups = Saved(components(large.select(F.col("own.rep").alias("a"), F.col("first").alias("b"))), "groups")
+    groups = Saved(components(large.select(F.col("rep").alias("a"), F.col("first").alias("b"))), "groups")
     most = far(threshold)
-    crowd = large.select("own", "c").distinct().join(groups.df.select(F.col("node"), F.col("component").alias("g")), F.col("own.rep") == F.col("node"))
-    crowd = Saved(crowd.select("g", F.col("own.rep").alias("id"), F.col("own.n").alias("n"), "c", F.array(*[F.col(f"own.b{i}") for i in range(WORDS)]).alias("bits")), "crowd")
+    crowd = large.select("rep", "c").distinct().join(groups.df.select(F.col("node").alias("rep"), F.col("component").alias("g")), "rep").join(classes.select("rep", "n", F.array(*bits).alias("bits")), "rep")
+    crowd = Saved(crowd.select("g", F.col("rep").alias("id"), "n", "c", "bits"), "crowd")
     tiled = _tiled(crowd.df, docs, width, percent, most)
 
-    few = rest.df.where(F.col("size") <= SMALL).join(classes.df.select(F.col("rep").alias("r"), "keys"), F.col("own.rep") == F.col("r"))
-    few = few.join(groups.df.select("node", F.col("component").alias("g")), F.col("own.rep") == F.col("node"), "left").select("key", "own", "c", "keys", "g")
-    few = Saved(few, "few")
+    few = rest.df.where(F.col("size") <= SMALL).select("key", "rep", "c").join(classes.select("rep", "keys", F.struct("n", *bits).alias("is")), "rep")
+    few = Saved(few.join(groups.df.select(F.col("node").alias("rep"), F.col("component").alias("g")), "rep", "left"), "few")
     x, y = few.df.alias("x"), few.df.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.own.rep") < F.col("y.own.rep")) & (F.col("x.c") != F.col("y.c")) & F.coalesce(F.col("x.g") != F.col("y.g"), F.lit(True))
-    on = on & _near("x.own", "y.own", percent, most) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
-    cross = x.join(y, on).select(F.col("x.own.rep").alias("a"), F.col("y.own.rep").alias("b")).distinct()
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & F.coalesce(F.col("x.g") != F.col("y.g"), F.lit(True))
+    on = on & _near("x.is", "y.is", percent, most) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
+    cross = x.join(y, on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     cross = Saved(cross.join(star.df, ["a", "b"], "left_anti"), "cross")
     more = _confirmed(cross.df, docs, width, percent).unionByName(tiled)
     # Components of components: the first round's labels stand for its links.
@@ -325,11 +330,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     for end in ("a", "b"):
         ends = ends.join(first.df.select(F.col("node").alias(end), F.col("component").alias(f"{end}c")), end, "left").withColumn(f"{end}c", F.coalesce(f"{end}c", end))
     second = Saved(components(ends.select(F.col("ac").alias("a"), F.col("bc").alias("b"))), "second")
-    labels = classes.df.select("digest", "rep").join(first.df, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("c"))
+    labels = classes.select("digest", "rep").join(first.df, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("c"))
     labels = labels.join(second.df, F.col("c") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "c").alias("label"))
     labels = Saved(labels, "labels")
-    out = Saved(made.df.select("doc_id", "n", "digest").join(labels.df, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")), "near")
-    for table in (made, classes, shared, members, star, first, placed, rest, groups, crowd, few, cross, second, labels):
+    out = Saved(rows.df.join(labels.df, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")), "near")
+    for table in (rows, shared, members, star, first, placed, rest, groups, crowd, few, cross, second, labels):
         table.drop()
     return out.df.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
