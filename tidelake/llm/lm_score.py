@@ -12,6 +12,9 @@ at a time, and each pass fills in the levels of the n-grams whose slices it hold
 
 from __future__ import annotations
 
+import mmap
+import os
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +27,9 @@ from ..deploy import ship
 from .common import Saved, binary_list, mix, word_hashes
 
 #: Bytes of text a slice stands for, of filter a pass broadcasts, and tokens a task holds before it merges them.
-SLICE_BYTES, PASS_BYTES, FLUSH_TOKENS = 16 << 20, 256 << 20, 4_000_000
+SLICE_BYTES, PASS_BYTES, FLUSH_TOKENS = 16 << 20, 256 << 20, 2_000_000
 #: Filter bits an entry gets; bits it sets in its 64-bit word.
-BITS, PROBES = 12, 5
+BITS, PROBES = 10, 5
 #: Weight of the pair's share against the token's.
 PAIR_WEIGHT = 0.4
 
@@ -118,7 +121,7 @@ def build_slice(uni: tuple[np.ndarray, np.ndarray], pair: tuple[np.ndarray, np.n
 
 
 def _reduced(counted: DataFrame) -> DataFrame:
-    """(slice, uni, counts, words): exact token counts and the filter of each slice."""
+    """(slice, uni, counts, total, words): exact token counts, their sum, and the filter of each slice."""
 
     def run(table: pa.Table) -> pa.Table:
         sides = []
@@ -127,28 +130,60 @@ def _reduced(counted: DataFrame) -> DataFrame:
             h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(h.as_buffer(), np.uint64) for h, _ in rows)])
             c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64) for _, c in rows)])
             sides.append(_merged(h, c))
-        return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()), "uni": pa.array([sides[0][0].tobytes()], pa.binary()), "counts": pa.array([sides[0][1].tobytes()], pa.binary()), "words": pa.array([build_slice(*sides).tobytes()], pa.binary())})
+            del rows, h, c
+        return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()), "uni": pa.array([sides[0][0].tobytes()], pa.binary()), "counts": pa.array([sides[0][1].tobytes()], pa.binary()), "total": pa.array([int(sides[0][1].sum())], pa.int64()), "words": pa.array([build_slice(*sides).tobytes()], pa.binary())})
 
-    return counted.groupBy("slice").applyInArrow(run, "slice int, uni binary, counts binary, words binary")
+    return counted.groupBy("slice").applyInArrow(run, "slice int, uni binary, counts binary, total long, words binary")
+
+
+_START = pickle.dumps(bytearray(1 << 17), pickle.HIGHEST_PROTOCOL).index(bytes(64))  # where a pickled bytearray's content begins
+_MAGIC = b"log-frequency"
 
 
 class Part:
-    """Consecutive slices as they are broadcast."""
-
-    def __init__(self, rows: list, bits: int):
-        self.bits, self.first, self.last = bits, rows[0]["slice"], rows[-1]["slice"]
-        self.uni = np.concatenate([np.frombuffer(r["uni"], np.uint64) for r in rows])
-        self.counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])
-        filters = [np.frombuffer(r["words"], np.uint64) for r in rows]
-        self.words = np.concatenate(filters)
-        n = self.last - self.first + 1
-        self.offset, self.size = np.zeros(n, np.int64), np.ones(n, np.int64)
-        self.present = np.zeros(n, bool)
-        at = 0
-        for r, f in zip(rows, filters):
+    """Consecutive slices as they are broadcast: one block of bytes that workers map from the broadcast's file, so that an executor
+    holds it once, whatever the number of its workers."""
+
+    def __init__(self, spark, rows: Iterator, sizes: list, bits: int):
+        """`sizes` has slice, kinds and words of each row, in order."""
+        self.bits, self.first = bits, sizes[0]["slice"]
+        kinds, words = sum(r["kinds"] for r in sizes), sum(r["words"] for r in sizes)
+        n = sizes[-1]["slice"] - self.first + 1
+        self.offset, self.size, self.present = np.zeros(n, np.int64), np.ones(n, np.int64), np.zeros(n, bool)
+        self.pad = 24 + -(_START + 24) % 8
+        self.shape = kinds, words
+        block = bytearray(self.pad + 16 * kinds + 8 * words)
+        block[: len(_MAGIC)] = _MAGIC
+        uni, counts, filters = self._arrays(block, self.pad)
+        first_kind, at_kind = {}, 0
+        for r in sizes:  # slices are ranges of hashes: in their order the tokens' hashes stay sorted
             i = r["slice"] - self.first
-            self.offset[i], self.size[i], self.present[i] = at, len(f), True
-            at += len(f)
+            self.size[i], self.present[i], first_kind[i] = r["words"], True, at_kind
+            at_kind += r["kinds"]
+        self.offset[self.present] = np.cumsum(self.size[self.present]) - self.size[self.present]
+        for r in rows:
+            i, u, f = r["slice"] - self.first, np.frombuffer(r["uni"], np.uint64), np.frombuffer(r["words"], np.uint64)
+            uni[first_kind[i] : first_kind[i] + len(u)] = u
+            counts[first_kind[i] : first_kind[i] + len(u)] = np.frombuffer(r["counts"], np.int64)
+            filters[self.offset[i] : self.offset[i] + len(f)] = f
+        del uni, counts, filters
+        self.held = spark.sparkContext.broadcast(block)
+
+    def _arrays(self, data, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        kinds, words = self.shape
+        return np.frombuffer(data, np.uint64, kinds, start), np.frombuffer(data, np.int64, kinds, start + 8 * kinds), np.frombuffer(data, np.uint64, words, start + 16 * kinds)
+
+    def open(self) -> Part:
+        """On a worker: map the arrays, or load them where there is no plain file to map."""
+        path = getattr(self.held, "_path", None)
+        if path and os.path.exists(path):
+            with open(path, "rb") as f:
+                data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            if data[_START : _START + len(_MAGIC)] == _MAGIC:
+                self.uni, self.counts, self.words = self._arrays(data, _START + self.pad)
+                return self
+        self.uni, self.counts, self.words = self._arrays(self.held.value, self.pad)
+        return self
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Levels of n-grams, by probing; zero for those of other parts."""
@@ -175,66 +210,62 @@ class Part:
         return np.where(self.uni[at] == hashes, self.counts[at], 0)
 
 
-_STATE = "doc_id long, text string, n_tokens long, n_known long, known_score double, token_levels binary, pair_levels binary"
+_STATE = "doc_id long, text string, n_known long, known_score double, token_levels binary, pair_levels binary"
+_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _passed(docs: DataFrame, held, first: bool) -> DataFrame:
-    """One part's contribution to every document: exact counts of its known tokens, and the levels read from its filter."""
+class Block:
+    """What parts say of some documents: known tokens, the sum of log10(count + 1) over them, and the levels of tokens and pairs."""
 
-    def block(part: Part, ids: pa.Array, texts: list[bytes | None], old: pa.RecordBatch | None) -> pa.RecordBatch:
+    def __init__(self, part: Part, texts: list[bytes | None]):
         each = [tokens(t) for t in texts]
-        ends = np.cumsum([len(t) for t in each])
-        all_ = np.concatenate(each)
-        kinds, back = np.unique(all_, return_inverse=True)
-        counts = part.exact(kinds)[back]
-        token_levels = part.levels(kinds)[back]
-        pair_levels = part.levels(np.concatenate([pairs(t) for t in each]))
-        starts = np.concatenate([[0], ends[:-1]])
-        known = np.add.reduceat((counts > 0).astype(np.int64), starts)
-        score = np.add.reduceat(np.log10(counts + 1.0), starts)
-        if old is not None:
-            known = known + old.column("n_known").to_numpy()
-            score = score + old.column("known_score").to_numpy()
-            token_levels = np.maximum(token_levels, np.frombuffer(b"".join(old.column("token_levels").to_pylist()), np.uint8))
-            pair_levels = np.maximum(pair_levels, np.frombuffer(b"".join(old.column("pair_levels").to_pylist()), np.uint8))
-        cut = lambda a: pa.array([a[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(ends - starts, pa.int64()), pa.array(known, pa.int64()), pa.array(score, pa.float64()), cut(token_levels), cut(pair_levels)],
-            names=["doc_id", "text", "n_tokens", "n_known", "known_score", "token_levels", "pair_levels"],
-        )
+        self.lengths = np.array([len(t) for t in each])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        kinds, back = np.unique(np.concatenate(each), return_inverse=True)
+        counts = part.exact(kinds)
+        self.known = np.add.reduceat((counts > 0).astype(np.int64)[back], self.starts)
+        self.score = np.add.reduceat(np.log10(counts + 1.0)[back], self.starts)
+        self.token_levels = part.levels(kinds)[back]
+        self.pair_levels = part.levels(np.concatenate([pairs(t) for t in each]))
+
+    def add(self, old: pa.RecordBatch) -> None:
+        """What the parts before this one said."""
+        self.known = self.known + old.column("n_known").to_numpy()
+        self.score = self.score + old.column("known_score").to_numpy()
+        self.token_levels = np.maximum(self.token_levels, np.frombuffer(b"".join(old.column("token_levels").to_pylist()), np.uint8))
+        self.pair_levels = np.maximum(self.pair_levels, np.frombuffer(b"".join(old.column("pair_levels").to_pylist()), np.uint8))
+
+    def state(self, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        cut = lambda levels: pa.array([levels[i : i + n].tobytes() for i, n in zip(self.starts, self.lengths)], pa.binary())
+        return pa.RecordBatch.from_arrays([ids, texts, pa.array(self.known), pa.array(self.score), cut(self.token_levels), cut(self.pair_levels)], names=["doc_id", "text", "n_known", "known_score", "token_levels", "pair_levels"])
+
+    def scored(self, ids: pa.Array, total: int, kinds: int, weight: float) -> pa.RecordBatch:
+        """Scores, once every part has been asked."""
+        values = value_of(np.arange(64))
+        token, pair = values[self.token_levels], values[self.pair_levels]
+        before = np.concatenate([[0.0], token[:-1]])
+        before[self.starts] = token[self.starts + self.lengths - 1]  # the end's own count stands before a text's first token
+        alone = (token + 1) / (total + kinds + 1)
+        p = np.where(before > 0, weight * np.minimum(1.0, pair / np.maximum(before, 1.0)) + (1 - weight) * alone, alone)
+        base = self.score - self.lengths * np.log10(total + 1.0 * (kinds + 1))
+        return pa.RecordBatch.from_arrays([ids, pa.array(self.lengths, pa.int64()), pa.array(self.known), pa.array(base), pa.array(np.add.reduceat(np.log10(p), self.starts))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+def _passed(docs: DataFrame, part: Part, first: bool, last: tuple[int, int, float] | None) -> DataFrame:
+    """Asks one part about every document; after the last part, the scores."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = held.value
+        opened = part.open()
         for whole in it:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                yield block(part, batch.column(0), binary_list(batch.column(1)), None if first else batch)
-
-    return docs.mapInArrow(run, _STATE)
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                block = Block(opened, binary_list(batch.column(1)))
+                if not first:
+                    block.add(batch)
+                ids = batch.column(0).cast(pa.int64())
+                yield block.scored(ids, *last) if last else block.state(ids, batch.column(1))
 
-
-def _scored(passed: DataFrame, total: int, kinds: int, weight: float) -> DataFrame:
-    """The scores of documents whose levels are complete."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values = value_of(np.arange(256))
-        for batch in it:
-            lengths = batch.column("n_tokens").to_numpy()
-            if not len(lengths):
-                continue
-            token = values[np.frombuffer(b"".join(batch.column("token_levels").to_pylist()), np.uint8)]
-            pair = values[np.frombuffer(b"".join(batch.column("pair_levels").to_pylist()), np.uint8)]
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            before = np.concatenate([[0.0], token[:-1]])
-            before[starts] = token[starts + lengths - 1]  # the end's own count stands before a text's first token
-            alone = (token + 1) / (total + kinds + 1)
-            share = np.minimum(1.0, pair / np.maximum(before, 1.0))
-            p = np.where(before > 0, weight * share + (1 - weight) * alone, alone)
-            score = np.add.reduceat(np.log10(p), starts)
-            base = batch.column("known_score").to_numpy() - lengths * np.log10(total + 1.0 * (kinds + 1))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), batch.column("n_known"), pa.array(base), pa.array(score)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    return passed.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return docs.mapInArrow(run, _SCORED if last else _STATE)
 
 
 def score(docs: DataFrame, training: DataFrame, weight: float = PAIR_WEIGHT, slice_bytes: int = SLICE_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -249,34 +280,24 @@ def score(docs: DataFrame, training: DataFrame, weight: float = PAIR_WEIGHT, sli
     ship(spark)
     size = training.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     bits = max(0, (-(-size // slice_bytes) - 1).bit_length())
-    counted = Saved(_counted(training, bits), "ngrams")
-    slices = Saved(_reduced(counted.df.repartition(max(1, 1 << bits), "slice")), "filter")
-    counted.drop()
-    sizes = slices.df.select("slice", (F.octet_length("uni") + F.octet_length("counts") + F.octet_length("words")).alias("bytes"), (F.octet_length("uni") / 8).cast("long").alias("kinds"), F.col("counts")).select("slice", "bytes", "kinds", _sum_of("counts").alias("total"))
+    slices = Saved(_reduced(_counted(training, bits).repartition(1 << bits, "slice")), "filter")
+    sizes = slices.df.select("slice", "total", F.expr("octet_length(uni) div 8").alias("kinds"), F.expr("octet_length(words) div 8").alias("words"))
     sizes = sorted(sizes.collect(), key=lambda r: r["slice"])  # a row for each slice, four numbers
     total, kinds = sum(r["total"] for r in sizes), sum(r["kinds"] for r in sizes)
-    runs: list[list[int]] = []
+    runs: list[list] = []
     room = 0
     for r in sizes:
-        if not runs or r["bytes"] > room:
+        need = 16 * r["kinds"] + 8 * r["words"]
+        if not runs or need > room:
             runs.append([])
             room = pass_bytes
-        runs[-1].append(r["slice"])
-        room -= r["bytes"]
+        runs[-1].append(r)
+        room -= need
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for i, run in enumerate(runs or [[]]):
-        rows = sorted(slices.df.where(F.col("slice").between(run[0], run[-1])).toLocalIterator(), key=lambda r: r["slice"]) if run else [{"slice": 0, "uni": b"", "counts": b"", "words": bytes(8)}]
-        state = _passed(state, spark.sparkContext.broadcast(Part(rows, bits)), first=not i)
-        if i + 1 < len(runs):
+    for i, run in enumerate(runs or [[{"slice": 0, "kinds": 0, "words": 1}]]):
+        rows = slices.df.where(F.col("slice").between(run[0]["slice"], run[-1]["slice"])).toLocalIterator() if runs else [{"slice": 0, "uni": b"", "counts": b"", "words": bytes(8)}]
+        final = i + 1 >= len(runs)
+        state = _passed(state, Part(spark, rows, run, bits), not i, (int(total), int(kinds), weight) if final else None)
+        if not final:
             state = Saved(state, "levels").df  # a worker holds one part at a time
-    return _scored(state, int(total), int(kinds), weight).withColumn("train_tokens", F.lit(int(total)).cast("long"))
-
-
-def _sum_of(column: str):
-    """The sum of a binary column's little-endian 64-bit numbers."""
-
-    @F.pandas_udf("long")
-    def total(c):
-        return c.map(lambda b: int(np.frombuffer(b, np.int64).sum()))
-
-    return total(F.col(column))
+    return state.withColumn("train_tokens", F.lit(int(total)).cast("long"))
