@@ -345,5 +345,6 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Of rows that repeat a doc_id and text, each stays if the document does, for all of them are that document.
     """
     groups = near_duplicates(docs, width, percent)
-    gone = groups.where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = Saved(groups.where("not kept and doc_id is not null").select("doc_id").distinct(), "gone").df
+    small = gone.count() <= BROADCAST_IDS  # whole texts are shuffled only if not
+    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
