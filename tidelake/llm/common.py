@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql import Window
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _own_dirs: dict[str, str] = {}
+_cleaned: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,7 +33,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/tidelake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path for a table; all such tables of an application go when the driver ends."""
+    own = f"{scratch_root(spark)}/tidelake/{spark.sparkContext.applicationId}"
+    if own not in _cleaned:
+        _cleaned.add(own)
+        atexit.register(_clean, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the application may be gone already
+        remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

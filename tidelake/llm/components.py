@@ -24,22 +24,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if tuple(state) == seen or not state[0]:
             break
         seen = tuple(state)
-        step = Saved(_small_star(_large_star(now.df)), "cc")
-        now.drop()
-        now = step
+        for star in (_large_star, _small_star):
+            step = Saved(star(now.df), "cc")
+            now.drop()
+            now = step
     roots = now.df.select(F.col("v").alias("node")).distinct()
     return now.df.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(w, m): nodes with a smaller neighbour, and the least of those. It is a table of its own, so that a join with it has plain
+    shuffles on both sides, which Spark splits where a node has very many edges."""
+    return Saved(edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "least").df
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Each larger neighbour of a node is tied to the node's least neighbour or the node itself."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
+    """Each larger neighbour of a node is tied to the node's least neighbour or the node itself. Edges come with u > v."""
+    tied = edges.select(F.col("u").alias("big"), F.col("v").alias("node")).join(_least(edges), F.col("node") == F.col("w"), "left")
+    return tied.select(F.col("big").alias("u"), F.coalesce("m", "node").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each smaller neighbour of a node, and the node, is tied to the least of them. Edges come with u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return least.select("u", F.col("m").alias("v")).unionByName(moved).distinct()
+    least = _least(edges)
+    moved = edges.join(least, F.col("u") == F.col("w")).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return least.select(F.col("w").alias("u"), F.col("m").alias("v")).unionByName(moved).distinct()
