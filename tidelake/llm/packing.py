@@ -60,7 +60,7 @@ class PartIds(dict):
     Up to LIMIT parts are remembered: the first ones stay until far more others have come than would fit.
     """
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
