@@ -23,7 +23,7 @@ from ..deploy import ship
 from .common import binary_list, fold
 from .features import chance, matrix, ngrams, share_for, vectors
 
-POSITIVES, UNLABELLED, BINS = 2500, 5000, 2048
+POSITIVES, UNLABELLED, BINS = 2500, 5000, 1024
 EXTRA = 4
 WIDTH = BINS + EXTRA
 
