@@ -105,19 +105,21 @@ def _literal_map(values: dict[str, str]) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """Every row of `docs` (doc_id, text) with the licences it states.
 
-    A sentence ends at a full stop, exclamation or question mark before white space, or at a line's end. Returns doc_id, n_known (known
-    licence sentences), sentence_ids (their identifiers in order, each in angle brackets; sentences with licence vocabulary that are not
-    known stand as <?>), licenses (names stated by the rules, sorted, once each, joined by commas). Null and empty texts, and texts
-    without a known sentence, have 0, or '' where nothing is recognised. Repeated rows stay; whole texts are read.
+    A sentence ends at a full stop, colon, exclamation or question mark before white space, or at a blank line, so it may run over
+    several lines; one that is not known is taken line by line. Returns doc_id, n_known (known licence sentences), sentence_ids
+    (identifiers in order, each in angle brackets; lines with licence vocabulary that are not known stand as <?>), licenses (names stated by
+    the rules, sorted, once each, joined by commas). Null and empty texts, and texts without such vocabulary, have 0 and ''.
+    Repeated rows stay; whole texts are read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.split(F.regexp_replace(text, r"([.!?])[ \t\n\x0B\f\r]+", "$1\n"), "[\n\r]+")
-    cued = F.transform(F.filter(lines, lambda s: s.rlike(f"(?i){CUE}")), _normalised)
+    has_cue = lambda s: s.rlike(f"(?i){CUE}")
+    sentences = F.filter(F.split(F.regexp_replace(text, r"([.!?:])[ \t\n\x0B\f\r]+", "$1\n\n"), "\n[ \t\r]*\n"), has_cue)
     known = _literal_map(KNOWN)
+    by_line = lambda s: F.transform(F.filter(F.split(s, "\n"), has_cue), lambda line: F.coalesce(known[_normalised(line)], F.lit("?")))
+    ids = F.flatten(F.transform(sentences, lambda s: F.when(known[_normalised(s)].isNotNull(), F.array(known[_normalised(s)])).otherwise(by_line(s))))
     # Most texts have no cue at all and are not split.
-    ids = F.when(text.rlike(f"(?i){CUE}"), F.transform(cued, lambda s: F.coalesce(known[s], F.lit("?")))).otherwise(F.array().cast("array<string>"))
-    marked = docs.select("doc_id", ids.alias("ids"))
+    marked = docs.select("doc_id", F.when(has_cue(text), ids).otherwise(F.array().cast("array<string>")).alias("ids"))
     sequence = F.concat(F.lit(""), F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""))
     named = marked.select("doc_id", F.size(F.filter("ids", lambda i: i != "?")).cast("long").alias("n_known"), sequence.alias("sentence_ids"))
-    found = F.transform(F.regexp_extract_all("sentence_ids", F.lit(f"({PATTERN})"), F.lit(1)), lambda m: _literal_map(LICENCE_OF)[m])
-    return named.withColumn("licenses", F.array_join(F.array_sort(F.array_distinct(found)), ","))
+    stated = F.transform(F.regexp_extract_all("sentence_ids", F.lit(f"({PATTERN})"), F.lit(1)), lambda m: _literal_map(LICENCE_OF)[m])
+    return named.withColumn("licenses", F.array_join(F.array_sort(F.array_distinct(stated)), ","))

@@ -83,6 +83,8 @@ _KNOWN = ", ".join(f"('{k}', '{v}')" for k, v in licenses.KNOWN.items())
 _LICENCES = ", ".join(f"('{k}', '{v}')" for k, v in licenses.LICENCE_OF.items())
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_NORMAL = "replace(trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g')), 'licence', 'license')"
+
 ORACLES: dict[str, str] = {
     "op5_embedding_tiles": """
         WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -94,12 +96,15 @@ ORACLES: dict[str, str] = {
         FROM e JOIN least ON node = vec_id
     """,
     "op6_license_sentences": f"""
-        WITH known(s, id) AS (VALUES {_KNOWN}), rules(m, name) AS (VALUES {_LICENCES}),
-        lines AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM
-                  (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \\t\\n\\v\\f\\r]+', '\\1\n', 'g'), '[\\n\\r]+') AS l FROM documents))),
-        cued AS (SELECT doc_id, i, replace(trim(regexp_replace({_LOWERED.format("line")}, '[^a-z0-9]+', ' ', 'g')), 'licence', 'license') AS s
-                 FROM lines WHERE regexp_matches(line, '(?i){licenses.CUE}')),
-        ids AS (SELECT doc_id, count(id) AS n_known, string_agg('<' || coalesce(id, '?') || '>', '' ORDER BY i) AS q FROM cued LEFT JOIN known ON cued.s = known.s GROUP BY doc_id),
+        WITH known(s2, id) AS (VALUES {_KNOWN}), rules(m, name) AS (VALUES {_LICENCES}),
+        sentences AS (SELECT doc_id, i, l[i] AS s, {_NORMAL.format(_LOWERED.format("l[i]"))} AS n FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM
+                  (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?:])[ \\t\\n\\v\\f\\r]+', '\\1\n\n', 'g'), '\\n[ \\t\\r]*\\n') AS l FROM documents))),
+        cued AS (SELECT doc_id, i, s, id FROM sentences LEFT JOIN known ON n = known.s2 WHERE regexp_matches(s, '(?i){licenses.CUE}')),
+        pieces AS (SELECT doc_id, i, 0 AS j, id FROM cued WHERE id IS NOT NULL UNION ALL
+                   SELECT doc_id, i, j, coalesce(known.id, '?') AS id FROM
+                   (SELECT doc_id, i, j, p[j] AS line FROM (SELECT doc_id, i, p, unnest(range(1, len(p) + 1)) AS j FROM (SELECT doc_id, i, string_split(s, '\n') AS p FROM cued WHERE id IS NULL))) x
+                   LEFT JOIN known ON {_NORMAL.format(_LOWERED.format("line"))} = known.s2 WHERE regexp_matches(line, '(?i){licenses.CUE}')),
+        ids AS (SELECT doc_id, count(*) FILTER (id <> '?') AS n_known, string_agg('<' || id || '>', '' ORDER BY i, j) AS q FROM pieces GROUP BY doc_id),
         found AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
                   FROM (SELECT doc_id, unnest(regexp_extract_all(q, '{licenses.PATTERN}')) AS m FROM ids) x JOIN rules ON x.m = rules.m GROUP BY doc_id)
         SELECT doc_id, CAST(coalesce(n_known, 0) AS BIGINT) AS n_known, coalesce(q, '') AS sentence_ids, coalesce(licenses, '') AS licenses

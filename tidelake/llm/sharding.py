@@ -148,7 +148,12 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
 
 
 def write_shards(docs: DataFrame, path: str, **how) -> None:
-    """Write whole documents under shard=<n>/ folders of a Parquet table at `path`. A doc_id must stand for one text."""
-    placed = kd_shards(docs, **how).select("doc_id", "text_crc32", "shard").distinct()
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    docs.withColumn("text_crc32", crc).join(placed, ["doc_id", "text_crc32"]).drop("text_crc32").write.partitionBy("shard").parquet(path)
+    """Write whole documents under shard=<n>/ folders of a Parquet table at `path`; a column named shard is left out for them.
+
+    Rows that repeat a doc_id and text go to one shard of those that hold them. Rows without doc_id go to the last shard.
+    """
+    placed = kd_shards(docs, **how).groupBy(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc")).agg(F.min("shard").alias("shard"))
+    crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    last = placed.agg(F.max("shard")).first()[0] or 0
+    joined = docs.drop("shard").join(placed, (F.col("doc_id") == F.col("__id")) & (crc == F.col("__crc")), "left")
+    joined.withColumn("shard", F.coalesce("shard", F.lit(last))).drop("__id", "__crc").write.partitionBy("shard").parquet(path)
