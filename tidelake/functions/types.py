@@ -1,10 +1,7 @@
-"""What tables can hold, what keys can be compared, and how partition values are written."""
+"""What tables can hold, and what keys can be compared."""
 
 from __future__ import annotations
 
-import datetime
-import decimal
-
 from pyspark.sql import types as T
 
 # Types without a place in a table.
@@ -28,18 +25,3 @@ def comparable(kind: T.DataType) -> bool:
 
 def describe(kind: T.DataType) -> str:
     return kind.simpleString()
-
-
-def partition_text(value: object) -> str | None:
-    """A partition value as the log spells it; null and the empty string are null."""
-    if value is None or value in ("", b""):
-        return None
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, datetime.datetime):
-        return value.strftime("%Y-%m-%d %H:%M:%S") + (f".{value.microsecond:06d}" if value.microsecond else "")
-    if isinstance(value, decimal.Decimal):
-        return format(value, "f")
-    if isinstance(value, (bytes, bytearray)):
-        return bytes(value).decode("utf-8", "replace")
-    return str(value)
