@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..deploy import ship
 from .common import Saved, binary_list, numbered
