@@ -48,7 +48,11 @@ def stage(df: DataFrame, files: LocalFiles | HadoopFiles, root: str, partitions:
     if partitions:
         df = df.hint("rebalance", *[F.col(f"`{p}`") for p in partitions])
     writer = df.write.option("maxRecordsPerFile", max(1, file_bytes // row_bytes(df.schema)))
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{root.rstrip('/')}/{folder}")
+    try:
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{root.rstrip('/')}/{folder}")
+    except Exception:
+        files.delete(folder)
+        raise
     entries = [e for e in files.walk(folder) if e.path.endswith(".parquet")]
     body = [f for f in df.schema.fields if f.name not in partitions]
     if files.local("") is not None:
