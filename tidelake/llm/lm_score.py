@@ -280,7 +280,7 @@ def score(docs: DataFrame, training: DataFrame, weight: float = PAIR_WEIGHT, sli
     ship(spark)
     size = training.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     bits = max(0, (-(-size // slice_bytes) - 1).bit_length())
-    slices = Saved(_reduced(_counted(training, bits).repartition(1 << bits, "slice")), "filter")
+    slices = Saved(_reduced(_counted(training, bits).repartitionById(1 << bits, F.col("slice"))), "filter")
     sizes = slices.df.select("slice", "total", F.expr("octet_length(uni) div 8").alias("kinds"), F.expr("octet_length(words) div 8").alias("words"))
     sizes = sorted(sizes.collect(), key=lambda r: r["slice"])  # a row for each slice, four numbers
     total, kinds = sum(r["total"] for r in sizes), sum(r["kinds"] for r in sizes)
