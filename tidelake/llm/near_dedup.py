@@ -247,7 +247,7 @@ def _tiled(crowd: DataFrame, docs: DataFrame, width: int, percent: int, most: in
     spark = docs.sparkSession
     sets = _sets_of(crowd.select("id"), docs, width)
     kind = F.floor(F.log(F.col("n").cast("double")) / log(SIZE_STEP)).cast("int")
-    placed = numbered(crowd.withColumn("kind", kind), ["g", "kind"], ["id"], "at").withColumn("part", F.floor(F.col("at") / TILE)).drop("at")
+    placed = numbered(crowd.withColumn("kind", kind), ["g", "kind"], ["id"], "at", rows_per_bucket=4 * TILE).withColumn("part", F.floor(F.col("at") / TILE)).drop("at")
     tiles = Saved(_tiles(placed.join(sets.df, "id")), "tiles")
     sets.drop()
     about = tiles.df.select("g", "tile", "lo", "hi", "c0", "c1")
