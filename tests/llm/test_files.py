@@ -134,6 +134,28 @@ def test_licences(spark):
     assert all(licenses.normal(s) in licenses.KNOWN for v in licenses.SENTENCES.values() for s in v)
 
 
+def test_every_known_sentence_and_rule_is_found_in_running_text(spark):
+    around = lambda s: f"Some words here: and more.\n{s}\nOther words follow. And more."
+    wrapped = lambda s: "\n".join(f"# {' '.join(s.split()[k : k + 6])}" for k in range(0, len(s.split()), 6))
+    one = [(f"<{i}>", around(s)) for i, v in licenses.SENTENCES.items() for s in v]
+    one += [(f"<{i}>", f"Some words.\n\n{wrapped(s)}\n\nOther words.") for i, v in licenses.SENTENCES.items() for s in v]
+    rules = [(name, "".join(f"<{i}>" for i in ids), around("\n".join(licenses.SENTENCES[i][0] for i in ids))) for name, ids in licenses.RULES]
+    texts = [t for _, t in one] + [t for *_, t in rules]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].sentence_ids for i in range(len(one))] == [i for i, _ in one]
+    assert [(got[len(one) + i].licenses, got[len(one) + i].sentence_ids) for i in range(len(rules))] == [(name, ids) for name, ids, _ in rules]
+
+
+def test_marks_outside_known_sentences_still_end_one(spark):
+    cases = {
+        "Free software: you may not use this file except in compliance with the License.": "<?><Apache2use>", "SPDX-License-Identifier:\n\nMIT": "<?>", "SPDX-License-Identifier: MIT-0": "<?>",
+        "SPDX-Licence-Identifier: MIT\nReleased under the MIT License.": "<MITref><MITref>", "/* SPDX-License-Identifier: Apache-2.0 */": "<Apache2ref>", "Licensed under the ISC License. SPDX-License-Identifier: ISC. End.": "<ISCref><ISCref>",
+        "SPDX-License-Identifier:" + " " * 50_000 + "x": "<?>", "SPDX-License-Identifier" + ". " * 500 + "x": "<?>",
+    }
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
 def test_awkward_licences(spark, with_clashes, no_docs):
     df, rows = with_clashes
     assert {r.licenses for r in licenses.scan(df).collect()} == {""} and licenses.scan(df).count() == len(rows) and licenses.scan(no_docs).count() == 0

@@ -94,6 +94,24 @@ PATTERN = "|".join("".join(f"<{i}>" for i in ids) for _, ids in RULES)
 LICENCE_OF = {"".join(f"<{i}>" for i in ids): name for name, ids in reversed(RULES)}
 
 
+_CUT = r"[.!?:](?=[ \t\n\x0B\f\r])"
+
+
+def _kept_together() -> str:
+    """Matches a known sentence that holds what looks like an end of one, up to the mark there; group 1 is that part."""
+    spelt = lambda part: "[^a-z0-9]++".join(normal(part).replace("license", "licen[cs]e").split())
+    places = [(spelt(s[: m.start()]), spelt(s[m.end() :])) for v in SENTENCES.values() for s in v for m in re.finditer(_CUT, s)]
+    rests: dict[str, list[str]] = {}
+    for before, after in places:
+        rests.setdefault(before, []).append(after)
+    # The run of other characters is taken whole after the mark, so no place is tried twice.
+    each = [f"{k}[^a-z0-9]*?{_CUT}(?=[^a-z0-9]++(?:{'|'.join(v)})(?![a-z0-9]))" for k, v in rests.items()]
+    return f"(?i)(?<![a-z0-9])({'|'.join(each)})"
+
+
+KEPT_TOGETHER = _kept_together()
+
+
 def _normalised(s: Column) -> Column:
     return F.replace(F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), "[^a-z0-9]+", " ")), F.lit("licence"), F.lit("license"))
 
@@ -106,14 +124,17 @@ def scan(docs: DataFrame) -> DataFrame:
     """Every row of `docs` (doc_id, text) with the licences it states.
 
     A sentence ends at a full stop, colon, exclamation or question mark before white space, or at a blank line, so it may run over
-    several lines; one that is not known is taken line by line. Returns doc_id, n_known (known licence sentences), sentence_ids
+    several lines; one that is not known is taken line by line. Such a mark inside a known sentence ('SPDX-License-Identifier: MIT',
+    'v. 2.0') ends none. Returns doc_id, n_known (known licence sentences), sentence_ids
     (identifiers in order, each in angle brackets; lines with licence vocabulary that are not known stand as <?>), licenses (names stated by
     the rules, sorted, once each, joined by commas). Null and empty texts, and texts without such vocabulary, have 0 and ''.
     Repeated rows stay; whole texts are read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has_cue = lambda s: s.rlike(f"(?i){CUE}")
-    sentences = F.filter(F.split(F.regexp_replace(text, r"([.!?:])[ \t\n\x0B\f\r]+", "$1\n\n"), "\n[ \t\r]*\n"), has_cue)
+    # A mark that ends no sentence gets a hyphen, which counts as a space among words, so that no white space follows.
+    whole = F.regexp_replace(text, KEPT_TOGETHER, "$1-")
+    sentences = F.filter(F.split(F.regexp_replace(whole, r"([.!?:])[ \t\n\x0B\f\r]+", "$1\n\n"), "\n[ \t\r]*\n"), has_cue)
     known = _literal_map(KNOWN)
     by_line = lambda s: F.transform(F.filter(F.split(s, "\n"), has_cue), lambda line: F.coalesce(known[_normalised(line)], F.lit("?")))
     ids = F.flatten(F.transform(sentences, lambda s: F.when(known[_normalised(s)].isNotNull(), F.array(known[_normalised(s)])).otherwise(by_line(s))))
