@@ -13,15 +13,16 @@ from tidelake.llm import decontaminate, langid, near_dedup, packing, quality
 from tidelake.llm.common import DOCUMENT_COLUMNS, Saved
 from tidelake.llm.queries import read, tokenizer_path
 
-#: A language below this score counts as unknown.
+#: A language below this score counts as unknown. With two families of two languages no score is that low; what is foreign to all of
+#: them is found by its distance.
 LEAST_LANGUAGE_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no learned language, go; lang becomes what was found."""
+    """Documents without a letter, with hardly any, or far from every learned language, go; lang becomes what was found."""
     ship(spark)
     model = langid.fit(langid.training_rows(docs))
-    found = langid.identify(docs.select(*DOCUMENT_COLUMNS), model)
+    found = langid.identify(docs.select(*DOCUMENT_COLUMNS), model, reject=True)
     kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*DOCUMENT_COLUMNS)
 

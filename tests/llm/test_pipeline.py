@@ -41,6 +41,24 @@ def test_stages(spark, data):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_language_stage_drops_what_was_not_learned(spark):
+    big = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{big}/documents.parquet").select(*DOCUMENT_COLUMNS)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi.", "Все люди рождаются свободными и равными в своем достоинстве.", "Привет",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι.", "すべての人間は、生まれながらにして自由であり", "日本語", "人人生而自由,在尊严和权利上一律平等。", "يولد جميع الناس أحرارا متساوين في الكرامة",
+        "सभी मनुष्यों को गौरव और अधिकारों के मामले में", "%%% 123 ### x !!! 456 --- ###", "$$$ " * 50 + "q", "§ … — !!! é " + "— " * 40,
+    ]
+    clean = ["the", "La.", "This is it.", "All human beings are born free and equal in dignity and rights.", "Alle Menschen sind frei und gleich an Würde und Rechten geboren.", "Tous les êtres humains naissent libres et égaux en dignité et en droits."]
+    planted = [(-1 - i, t, None, "planted", len(t)) for i, t in enumerate(foreign + clean)]
+    out = corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), big)
+    kept = {r.doc_id for r in out.select("doc_id").collect()}
+    assert [t for i, t in enumerate(foreign) if -1 - i in kept] == [] and [t for i, t in enumerate(clean) if -1 - len(foreign) - i not in kept] == []
+    assert {r.doc_id for r in docs.select("doc_id").collect()} <= kept
+
+
 def test_run_is_the_stages_in_turn(spark, data):
     assert corpus_pipeline.run(spark, data).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
