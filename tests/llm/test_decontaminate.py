@@ -52,6 +52,17 @@ def test_index_finds_what_a_scan_finds(symbols, n):
     assert got == want
 
 
+@pytest.mark.parametrize("shard", [5, 12, 40, 300])
+def test_an_index_has_no_more_symbols_than_a_shard(monkeypatch, shard):
+    items, docs = items_and_docs()
+    patterns = D.Patterns([(i, (t or "").encode()) for i, t in items], 4)
+    texts = [None if t is None else t.encode() for _, t in docs] + [" ".join(t for _, t in items if t).encode() * 3]
+    want, sizes, real = D.hits(texts, patterns), [], D.FMIndex
+    monkeypatch.setattr(D, "SHARD", shard)
+    monkeypatch.setattr(D, "FMIndex", lambda text, *a: sizes.append(len(text)) or real(text, *a))
+    assert D.hits(texts, patterns) == want and max(sizes) <= shard and len(sizes) > 1 and any(s for _, s, _ in want)
+
+
 def items_and_docs():
     items = [(i, prose(100 + i, 25)) for i in range(12)] + [(90, "Short one here"), (91, None), (92, ""), (None, prose(300, 15)), (5, prose(301, 12)), (93, prose(100, 25))]
     r = random.Random(4)

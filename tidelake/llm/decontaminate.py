@@ -2,7 +2,8 @@
 
 The alphabet is the vocabulary of the benchmark's items; every other word of a document is a separator. An occurrence of a window
 lies within one run of alphabet words, so runs shorter than the shortest window cannot hold one and stay out of the index. The
-runs of a shard, documents read one after another until the index has SHARD symbols, are sorted by suffix; the resulting
+runs of a shard, those of one Arrow batch until the index has SHARD symbols, are sorted by suffix; a longer run is split into pieces
+that overlap by a window less one word. An index does not span batches, so it may have fewer symbols. The resulting
 transform is held as a wavelet matrix. All windows are searched backwards at once, each step two rank queries a window; the
 occurrences are located by stepping back to a sampled suffix position; their spans are merged for each document.
 """
@@ -23,8 +24,9 @@ from pyspark.sql import types as T
 from ..deploy import ship
 from .common import Saved, binary_list
 
+#: Symbols of an index at most, its separators included, and the distance of sampled suffix positions.
 SHARD, SAMPLE = 1_000_000, 16
-#: Documents held at most while an index fills, in bytes of text.
+#: Documents held at most at once, in bytes of text; a longer one is held alone.
 HELD_BYTES = 64 << 20
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark is searched in that many blocks in turn.
 BLOCK_BYTES = 32 << 20
@@ -156,7 +158,7 @@ def _suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 def hits(texts: list[bytes | None], patterns: Patterns) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
-    """For each text of a shard: its words, the merged spans of words inside occurrences, and the items that occur."""
+    """For each text: its words, the merged spans of words inside occurrences, and the items that occur."""
     get, counts, parts = patterns.vocabulary.get, [], []
     for text in texts:
         w = words(text)
@@ -173,14 +175,40 @@ def hits(texts: list[bytes | None], patterns: Patterns) -> list[tuple[int, list[
     begin, end = begin[long_], end[long_]
     if not len(begin):
         return found
-    # The index holds a separator and the run, run after run; places says where each run stood.
+    doc_starts = 1 + np.concatenate([[0], np.cumsum(np.array(counts) + 1)])
+    for first, after in _filled(*(runs := _split(begin, end, patterns.groups[-1][0]))):
+        _search(ids, runs[0][first:after], runs[1][first:after], doc_starts, patterns, found)
+    return [(n, merged(spans), items) for n, spans, items in found]
+
+
+def _split(begin: np.ndarray, end: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, those that do not fit an index in pieces; each window up to the longest lies whole in one of them."""
+    held = max(SHARD, longest + 1) - 1  # a separator goes before each run
+    step = held - longest + 1
+    n = np.maximum(1, -(-(end - begin - longest + 1) // step))
+    begin = np.repeat(begin, n) + step * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+    return begin, np.minimum(np.repeat(end, n), begin + held)
+
+
+def _filled(begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of runs that an index each holds, of SHARD symbols at most."""
+    offsets = np.concatenate([[0], np.cumsum(end - begin + 1)])
+    first = 0
+    while first < len(begin):
+        after = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SHARD, "right")) - 1)
+        yield first, after
+        first = after
+
+
+def _search(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, doc_starts: np.ndarray, patterns: Patterns, found: list[tuple[int, list, set]]) -> None:
+    """Adds to `found` what occurs in these runs."""
+    # The index holds a separator and the run, run after run; `at` says where each symbol stood.
     sizes = end - begin + 1
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - (begin - 1), sizes)
     text = ids[at].copy()
     text[offsets[:-1]] = 0
     index = FMIndex(text, len(patterns.vocabulary))
-    doc_starts = 1 + np.concatenate([[0], np.cumsum(np.array(counts) + 1)])
     for n, windows, owners in patterns.groups:
         which, lo, hi = index.search(windows)
         if not len(which):
@@ -195,7 +223,6 @@ def hits(texts: list[bytes | None], patterns: Patterns) -> list[tuple[int, list[
             start = int(where[k] - doc_starts[d])
             found[d][1].append((start, start + n))
             found[d][2].update(owners[pattern[k]])
-    return [(n, merged(spans), items) for n, spans, items in found]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
