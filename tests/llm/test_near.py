@@ -143,3 +143,15 @@ def test_embeddings_equal_brute_force(spark):
         assert (got[v].n_links, got[v].component_id, got[v].kept) == (0, v, True)
     assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
     assert E.near_vectors(df.where("false")).count() == 0
+
+
+def test_rows_of_one_doc_id_stand_for_their_own_texts(spark):
+    a, b, c, d, e = (prose(700 + i, 150) for i in range(5))
+    rows = [(1, a), (2, a), (2, b), (2, None), (3, c), (3, d), (0, d + " extra"), (7, c + " extra"), (8, e), (8, e), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in N.near_duplicates(df, 5, 80).collect())
+    want = [(1, 1, True), (2, 1, False), (2, 2, True), (2, 2, True), (3, 3, True), (3, 0, False), (0, 0, True), (7, 3, False), (8, 8, True), (8, 8, True), (None, None, False)]
+    assert got == sorted((str(i), str(k), kept) for i, k, kept in want)
+    kept = N.keep_one(df, 5, 80)
+    assert kept.columns == df.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in df.collect() if tuple(r) not in {(2, a), (3, d), (7, c + " extra")})

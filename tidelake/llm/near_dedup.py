@@ -281,6 +281,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nothing. Repeated rows stay, each with the same result. A doc_id with several texts: each row stands for its own text.
     Empty tables give an empty result. Texts are used whole.
     """
+    if _several_texts(docs):
+        return _by_text(docs, width, percent).drop("row")
+    return _linked(docs, width, percent)
+
+
+def _several_texts(docs: DataFrame) -> bool:
+    """Whether rows of one doc_id differ in their texts."""
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    return texts.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").limit(1).count() > 0
+
+
+def _row() -> Column:
+    """A number for each doc_id and text; null where the doc_id is."""
+    return F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+
+
+def _by_text(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """What near_duplicates returns, and `row`: the groups are found under a number for each doc_id and text, then named by doc_id."""
+    numbered_ = docs.select(_row().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _linked(numbered_.select(F.col("row").alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("c"))
+    named = Saved(found.join(numbered_.where("row is not null").select("row", "doc_id").distinct(), "row", "left"), "named").df
+    least = named.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    out = named.join(least, "c", "left").select("doc_id", "n_shingles", "component_id", "row")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """near_duplicates where a doc_id has one text."""
     spark = docs.sparkSession
     ship(spark)
     threshold = percent / 100
@@ -342,9 +370,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that are the first of their group. Rows without words, or without doc_id, stay.
 
-    Of rows that repeat a doc_id and text, each stays if the document does, for all of them are that document.
+    Of rows that repeat a doc_id and text, each stays if the document does, for all of them are that document. Rows of one doc_id
+    with different texts stay or go each for its own text.
     """
-    groups = near_duplicates(docs, width, percent)
-    gone = Saved(groups.where("not kept and doc_id is not null").select("doc_id").distinct(), "gone").df
+    if _several_texts(docs):
+        gone = Saved(_by_text(docs, width, percent).where("not kept and row is not null").select(F.col("row").alias("__row")).distinct(), "gone").df
+        docs, by = docs.withColumn("__row", _row()), "__row"
+    else:
+        gone = Saved(_linked(docs, width, percent).where("not kept and doc_id is not null").select("doc_id").distinct(), "gone").df
+        by = "doc_id"
     small = gone.count() <= BROADCAST_IDS  # whole texts are shuffled only if not
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, by, "left_anti").drop("__row")
