@@ -37,9 +37,27 @@ def test_translate_passes_coded_errors_and_raises_cancellations():
         errors.translate(errors.Cancelled(), "write", "x")
 
 
+def test_secrets_are_known_by_the_parts_of_a_name():
+    for name in ("fs.s3a.secret.key", "AccountKey", "sessionToken", "AWS_ACCESS_KEY_ID", "client_secret", "dbpassword", "sig"):
+        assert errors.is_secret(name)
+    for name in ("monkey", "keyboard", "region", "design", "tokenizer", "sassy"):
+        assert not errors.is_secret(name)
+
+
 def test_row_data_never_survives():
-    text = "rejected: password=hunter2 Preview of invalid data: id=777 amt=3"
-    assert "hunter2" not in errors.redact(text) and "777" not in errors.redact(text)
+    text = "rejected: password=hunter2 and the value '777' of k\n|  k|\n|778|\nthat is all"
+    left = errors.redact(text)
+    assert not any(x in left for x in ("hunter2", "777", "778")) and "that is all" in left
+    assert errors.redact("nothing to hide: part-0.parquet, version 3") == "nothing to hide: part-0.parquet, version 3"
+
+
+def test_redaction_takes_time_in_proportion():
+    import time
+
+    began = time.perf_counter()
+    for text in ("key " * 250_000, "<secret>" * 60_000, "a" * 1_000_000, "|x\n" * 300_000):
+        errors.redact(text)
+    assert time.perf_counter() - began < 10
 
 
 def test_window_text_and_pairing():

@@ -78,18 +78,18 @@ class HadoopFiles:
 
     def __init__(self, spark: SparkSession, root: str):
         self.jvm, self.root = spark._jvm, root.rstrip("/")
-        self.fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _path(self, name: str):
+    def path(self, name: str):
         base = self.jvm.org.apache.hadoop.fs.Path(self.root)
         return self.jvm.org.apache.hadoop.fs.Path(base, name) if name else base
 
     def names(self, folder: str) -> list[str]:
-        at = self._path(folder)
+        at = self.path(folder)
         return sorted(s.getPath().getName() for s in self.fs.listStatus(at)) if self.fs.exists(at) else []
 
     def read(self, name: str) -> str:
-        stream = self.fs.open(self._path(name))
+        stream = self.fs.open(self.path(name))
         try:
             return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
         finally:
@@ -97,7 +97,7 @@ class HadoopFiles:
 
     def claim(self, name: str, text: str) -> bool:
         try:
-            stream = self.fs.create(self._path(name), False)
+            stream = self.fs.create(self.path(name), False)
             stream.write(bytearray(text.encode()))
             stream.close()
             return True
@@ -107,7 +107,7 @@ class HadoopFiles:
             raise
 
     def walk(self, folder: str) -> list[Entry]:
-        at = self._path(folder)
+        at = self.path(folder)
         out, prefix = [], len(self.fs.makeQualified(at).toString()) + 1
         if self.fs.exists(at):
             found = self.fs.listFiles(at, True)
@@ -119,13 +119,13 @@ class HadoopFiles:
         return sorted(out, key=lambda e: e.path)
 
     def move(self, old: str, new: str) -> None:
-        to = self._path(new)
+        to = self.path(new)
         self.fs.mkdirs(to.getParent())
-        if not self.fs.rename(self._path(old), to):
+        if not self.fs.rename(self.path(old), to):
             raise OSError("a staged file could not be moved")
 
     def delete(self, name: str) -> None:
-        self.fs.delete(self._path(name), True)
+        self.fs.delete(self.path(name), True)
 
     def local(self, name: str) -> str | None:
         return None
