@@ -2,8 +2,9 @@
 
 1. One pass tokenises each whole text and cuts it into full windows and a rest, each with the checksum of its ids.
 2. The histogram of piece lengths, at most one row per length up to the window, reaches the driver.
-3. There, shallow combinations of lengths that fill a window are enumerated; their repeat counts are the non-negative least
-   squares solution against the histogram, rounded down so that no length is used more often than it occurs.
+3. There, lengths are taken together in BINS bins, and the shallow combinations that fill a window, of up to KINDS bins, are
+   enumerated; their repeat counts are the non-negative least squares solution against the pieces of each bin, rounded. Each is spent
+   on lengths of its bins that fill the window best.
 4. The pieces that are left are packed greedily, longest first, again by length: each step repeats its combination until one of
    its lengths runs out, so the steps are bounded by the number of lengths and not by that of documents.
 5. The plan, which length goes where and how often, is broadcast, and every piece finds its place by its rank in its length.
@@ -13,9 +14,11 @@ Work on the driver depends on the window only. Nothing is cut but documents long
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -26,9 +29,11 @@ from pyspark.sql import functions as F
 from ..deploy import ship
 from .common import Saved, binary_list, numbered
 
-#: Deepest combination that is enumerated, and how many of the commonest lengths those of three and more draw on.
-DEPTH, COMMON = 4, 40
-SWEEPS = 300
+#: Bins that lengths are taken together in, bins that a combination has at most, and repeats of a bin in it at most, but of its last,
+#: which fills the window. They bound what is enumerated and bar no piece: each bin can be a combination's last.
+BINS, KINDS, MOST_TIMES = 64, 3, 64
+#: Times that what is left is solved for again before the rest is packed greedily.
+ROUNDS = 4
 
 
 # 1: ASCII small letters and digits, 2: other ASCII characters than white space and the apostrophe. Pre-tokenisation cuts between the
@@ -52,11 +57,27 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 
+# How a tokenizer's file says that it lower-cases, and takes letters, single digits and other characters apart.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _cuts_at_white_space(spec: dict) -> bool:
+    """Whether a tokenizer of this file gives a text the ids of its parts, one after another."""
+    normalizer, pre = spec.get("normalizer") or {}, (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    split, level = pre[0], pre[-1]
+    return (
+        normalizer.get("normalizers") == _NORMALIZERS and len(pre) == 2 and split.get("pattern") == {"Regex": _SPLIT} and split.get("behavior") == "Removed" and split.get("invert") is True
+        and level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and not level.get("use_regex") and spec.get("post_processor") is None and spec["model"].get("type") == "BPE"
+        and not spec.get("truncation") and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or [])
+    )
+
+
 class PartIds(dict):
     """Part of a text -> its ids as little-endian unsigned 32-bit bytes.
 
-    For tokenizers that lower case, drop white space and part letters, digits and other characters, as `word_bpe_49k.json` does.
-    Up to LIMIT parts are remembered: the first ones stay until far more others have come than would fit.
+    For tokenizers that lower case, drop white space and part letters, digits and other characters, as `word_bpe_49k.json` does; `cuts`
+    is false for any other, whose texts are encoded whole. Up to LIMIT parts are remembered: the first ones stay until far more others have come than would fit.
     """
 
     LIMIT = 200_000
@@ -67,6 +88,8 @@ class PartIds(dict):
         super().__init__()
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
+        with open(path, encoding="utf-8") as f:
+            self.cuts = _cuts_at_white_space(json.load(f))
         self.missed = 0
 
     def plain(self, text: bytes) -> bytes:
@@ -94,7 +117,7 @@ def part_ids(path: str) -> PartIds:
 def encode(text: bytes | None, path: str, end: int) -> bytes:
     """Ids of a whole text and the end id, as little-endian unsigned 32-bit bytes."""
     known = part_ids(path)
-    if text and _SPECIAL.search(text):  # may hold a special token's own spelling, which is matched before lower-casing
+    if text and (not known.cuts or _SPECIAL.search(text)):  # may hold a special token's own spelling, which is matched before lower-casing
         ids = known.plain(text)
     else:
         ids = b"".join(map(known.__getitem__, parts(text) if text else []))
@@ -119,54 +142,174 @@ def pieces(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def combinations(hist: np.ndarray, window: int) -> list[tuple[int, ...]]:
-    """Lengths, largest first, that fill a window exactly: every pair, and those of up to DEPTH whose members but one are common."""
-    have = hist > 0
-    out = {(window,)} if have[window] else set()
-    for a in np.flatnonzero(have[: window // 2 + 1]):
-        if a and have[window - a]:
-            out.add((int(window - a), int(a)))
-    common = [int(x) for x in np.argsort(-hist[:window], kind="stable")[:COMMON] if x and have[x]]
-    heads: list[tuple[int, ...]] = [(c,) for c in common]
-    for _ in range(3, DEPTH + 1):
-        heads = [(*h, c) for h in heads for c in common if c <= h[-1] and sum(h) + c < window]
-        for h in heads:
-            if have[window - sum(h)]:
-                out.add(tuple(sorted((*h, window - sum(h)), reverse=True)))
-    return sorted(out, reverse=True)
-
-
-def nonnegative_least_squares(columns: list[tuple[int, ...]], hist: np.ndarray) -> np.ndarray:
-    """x >= 0 that makes sum(x * uses of each length) closest to the histogram: projected steps along the gradient,
-    with momentum, each scaled by how much the columns that share a length weigh together."""
+@dataclass(frozen=True)
+class Combination:
+    """Bins of lengths, longest first, and how many pieces of each fill a window."""
+
+    bins: tuple[int, ...]
+    times: tuple[int, ...]
+
+
+def bin_width(window: int) -> int:
+    """Lengths a bin holds: bin k has those from (k - 1) * width + 1 to k * width."""
+    return -(-window // BINS)
+
+
+def combinations(have: np.ndarray, width: int, window: int) -> list[Combination]:
+    """Every choice of up to KINDS bins of `have` whose middle lengths, repeated, fill a window to half a bin's width."""
+    bins = np.flatnonzero(have)[::-1]
+    middle = width * bins - (width - 1) / 2
+    # Heads are rows of the places and repeats of the bins chosen so far and of the room left; each gets another bin in turn.
+    places, times, room = np.zeros((1, 0), np.int64), np.zeros((1, 0), np.int64), np.array([float(window)])
+    out: list[Combination] = []
+    for kind in range(KINDS):
+        heads, place = np.nonzero((places.max(axis=1, initial=-1)[:, None] < np.arange(len(bins))) & (room[:, None] >= middle - width / 2))
+        fill = np.floor(room[heads] / middle[place] + 0.5).astype(np.int64)
+        full = (fill > 0) & (np.abs(room[heads] - fill * middle[place]) <= width / 2)
+        h, i = heads[full], place[full]
+        for k, n in zip(bins[np.column_stack([places[h], i])].tolist(), np.column_stack([times[h], fill[full]]).tolist()):
+            out.append(Combination(tuple(k), tuple(n)))
+        if kind + 1 < KINDS:
+            most = np.minimum((room[heads] / middle[place]).astype(np.int64), MOST_TIMES)
+            h, i = np.repeat(heads, most), np.repeat(place, most)
+            n = np.arange(most.sum()) - np.repeat(np.cumsum(most) - most, most) + 1
+            places, times, room = np.column_stack([places[h], i]), np.column_stack([times[h], n]), room[h] - n * middle[i]
+    return out
+
+
+def nonnegative_least_squares(columns: list[Combination], wanted: np.ndarray) -> np.ndarray:
+    """x >= 0 that brings the sum of x times each combination closest to the pieces of each bin.
+
+    By active sets: the column along which the squares fall fastest joins those in use, the squares are solved over these, and columns that
+    would go below zero leave. At most as many are in use as there are bins, so repeat counts are large and rounding loses little.
+    """
+    x = np.zeros(len(columns))
     if not columns:
-        return np.zeros(0)
-    at = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-    row = np.concatenate([np.array(c) for c in columns])
-    ones = np.ones(len(row))
-    weight = np.bincount(row, np.bincount(at)[at].astype(float), len(hist))  # row sums of A times column sums: a bound of the curvature
-    scale = 1 / np.bincount(at, weight[row])
-    x = y = np.zeros(len(columns))
-    t = 1.0
-    for _ in range(SWEEPS):
-        left = hist - np.bincount(row, ones * y[at], len(hist))
-        new = np.maximum(0, y + scale * np.bincount(at, left[row]))
-        t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        y, x = new + (before - 1) / t * (new - x), new
+        return x
+    sizes = [len(c.bins) for c in columns]
+    column = np.repeat(np.arange(len(columns)), sizes)
+    row = np.concatenate([np.array(c.bins) for c in columns])
+    times = np.concatenate([np.array(c.times, float) for c in columns])
+    norm = np.sqrt(np.bincount(column, times * times))
+    used: list[int] = []
+    dense = lambda k: np.bincount(np.array(columns[k].bins), np.array(columns[k].times, float), len(wanted))
+    a = np.zeros((len(wanted), 0))
+    for _ in range(6 * len(wanted)):
+        left = wanted - (a @ x[used] if used else 0)
+        gain = np.bincount(column, times * left[row]) / norm
+        gain[used] = 0
+        best = int(gain.argmax())
+        if gain[best] <= 1e-7 * max(1.0, wanted.max()):
+            break
+        used.append(best)
+        a = np.column_stack([a, dense(best)])
+        while True:
+            y = np.linalg.lstsq(a, wanted, rcond=None)[0]
+            if (y > 0).all():
+                x[used] = y
+                break
+            old = x[used]
+            low = y <= 0
+            step = np.min(old[low] / np.maximum(old[low] - y[low], 1e-300))
+            new = old + step * (y - old)
+            stay = ~(low & (new <= 1e-9 * max(1.0, new.max())))
+            if stay.all():
+                stay[np.flatnonzero(low)[np.argmin(new[low])]] = False
+            x[used] = np.where(stay, np.maximum(new, 0), 0)
+            gone = used[-1] == best and not stay[-1]
+            used, a = [k for k, s in zip(used, stay) if s], a[:, stay]
+            if not used or (gone and best not in used):
+                break
+        if best not in used:
+            break  # rounding keeps it from entering: no better is to be had
     return x
 
 
-def plan(hist: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such sequences): every piece of the histogram is used exactly once."""
+def _realised(c: Combination, left: np.ndarray, width: int, window: int) -> list[int] | None:
+    """Lengths that are left, of the bins of a combination, that fill a window best; None if a bin runs out or they are too long.
+
+    All but two are taken near their bins' middles, each making good for those before; the last two are the best pair.
+    """
+    slots = [k for k, n in zip(c.bins, c.times) for _ in range(n)]
+    out: list[int] = []
+    taken: dict[int, int] = {}
+    drift = 0.0
+
+    def there(k: int) -> np.ndarray:
+        lengths = np.arange((k - 1) * width + 1, min(k * width, window) + 1)
+        free = left[lengths]
+        if taken:
+            free = free - np.array([taken.get(int(x), 0) for x in lengths])
+        return lengths[free > 0]
+
+    for k in slots[:-2]:
+        have = there(k)
+        if not len(have):
+            return None
+        want = width * k - (width - 1) / 2 - drift
+        x = int(have[np.abs(have - want).argmin()])
+        drift += x - (width * k - (width - 1) / 2)
+        out.append(x)
+        taken[x] = taken.get(x, 0) + 1
+    room = window - sum(out)
+    last = [there(k) for k in slots[-2:]]
+    if not all(map(len, last)):
+        return None
+    if len(last) == 1:
+        fit = last[0][last[0] <= room]
+        return [*out, int(fit[-1])] if len(fit) else None
+    both = np.add.outer(last[0], last[1])
+    if slots[-1] == slots[-2]:  # a length twice needs two pieces of it
+        once = np.array([left[x] - taken.get(int(x), 0) < 2 for x in last[0]])
+        both[np.diag(once)] = window + 1
+    both[both > room] = 0
+    i, j = np.unravel_index(both.argmax(), both.shape)
+    return [*out, int(last[0][i]), int(last[1][j])] if both[i, j] else None
+
+
+@dataclass(frozen=True)
+class Layout:
+    """A sequence's lengths in order, how many such sequences there are, and the step that made them."""
+
+    lengths: tuple[int, ...]
+    times: int
+    step: str
+
+
+def _most(lengths: list[int], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    used, counts = np.unique(lengths, return_counts=True)
+    return used, counts, int((left[used] // counts).min())
+
+
+def plan(hist: np.ndarray, window: int) -> list[Layout]:
+    """Every piece of the histogram is used exactly once.
+
+    Each solved count is rounded to the nearest number, the largest first, and spent on the lengths that are there: one choice of
+    lengths is repeated until it or the count runs out, so the steps follow the lengths and not the pieces. What is left is solved for
+    again, ROUNDS times in all, and then packed longest first.
+    """
     left, out = hist.astype(np.int64).copy(), []
-    columns = combinations(hist, window)
-    solved = nonnegative_least_squares(columns, hist)
-    for k in np.argsort(-solved, kind="stable"):
-        used, counts = np.unique(columns[k], return_counts=True)
-        n = int(min(np.floor(solved[k] + 1e-6), (left[used] // counts).min()))
-        if n > 0:
-            left[used] -= n * counts
-            out.append((columns[k], n))
+    if left[window]:
+        out.append(Layout((window,), int(left[window]), "full"))
+        left[window] = 0
+    width = bin_width(window)
+    for _ in range(ROUNDS):
+        wanted = np.bincount(-(-np.arange(len(left)) // width), left, -(-window // width) + 1).astype(float)
+        columns = combinations(wanted > 0, width, window)
+        solved = nonnegative_least_squares(columns, wanted)
+        before = len(out)
+        for k in np.argsort(-solved, kind="stable"):
+            todo = int(solved[k] + 0.5)
+            if not todo:
+                break
+            while todo and (lengths := _realised(columns[k], left, width, window)) and window - sum(lengths) <= width:
+                used, counts, n = _most(lengths, left)
+                n = min(n, todo)
+                left[used] -= n * counts
+                todo -= n
+                out.append(Layout(tuple(lengths), n, "solved"))
+        if len(out) == before:
+            break
     while left.any():
         lengths: list[int] = []
         used = np.zeros_like(left)
@@ -180,7 +323,7 @@ def plan(hist: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
         at = np.flatnonzero(used)
         n = int((left[at] // used[at]).min())
         left[at] -= n * used[at]
-        out.append((tuple(lengths), n))
+        out.append(Layout(tuple(lengths), n, "greedy"))
     return out
 
 
@@ -189,7 +332,7 @@ def pack(docs: DataFrame, path: str, end: int = 2, window: int = 4096) -> DataFr
 
     Returns a row per piece: doc_id, start (ids of its document before it), length, ids_crc32 (of its ids as little-endian unsigned
     32-bit numbers), doc_tokens (ids of its document, the end id among them), sequence_id (from 0), offset (ids before it in its
-    sequence). Null and empty texts have the end id alone. Null doc_ids stay null. Repeated rows are packed each. An empty
+    sequence), placed_by (`full`: a window by itself; `solved`: by the least squares; `greedy`: by what followed). Null and empty texts have the end id alone. Null doc_ids stay null. Repeated rows are packed each. An empty
     table gives no rows. Columns other than doc_id and text are ignored. `path` names the tokenizer's file.
     """
     spark = docs.sparkSession
@@ -200,25 +343,24 @@ def pack(docs: DataFrame, path: str, end: int = 2, window: int = 4096) -> DataFr
     for r in counts:
         hist[r["length"]] = r["n"]
     slots, sequence, rank = [], 0, np.zeros(window + 1, np.int64)
-    for lengths, n in plan(hist, window):
+    for layout in plan(hist, window):
         at, offsets = 0, {}
-        for x in lengths:
+        for x in layout.lengths:
             offsets.setdefault(x, []).append(at)
             at += x
         for x, where in offsets.items():
-            slots.append((int(x), int(rank[x]), int(rank[x]) + n * len(where), sequence, [int(w) for w in where]))
-            rank[x] += n * len(where)
-        sequence += n
+            slots.append((int(x), int(rank[x]), sequence, [int(w) for w in where], layout.step))
+            rank[x] += layout.times * len(where)
+        sequence += layout.times
     by_length: dict[int, tuple] = {}
-    for x, first, last, seq, where in slots:
-        by_length.setdefault(x, ([], [], []))
-        for column, value in zip(by_length[x], (first, seq, where)):
+    for x, *values in slots:
+        for column, value in zip(by_length.setdefault(x, ([], [], [], [])), values):
             column.append(value)
-    table = spark.createDataFrame([(k, *v) for k, v in by_length.items()], "len long, firsts array<long>, sequences array<long>, places array<array<long>>")
+    table = spark.createDataFrame([(k, *v) for k, v in by_length.items()], "len long, firsts array<long>, sequences array<long>, places array<array<long>>, steps array<string>")
     ranked = numbered(made.df, ["length"], ["doc_id", "start", "ids_crc32"], "rank", key_bound=window)
     # A length's slots stand in order of their first rank: the last of those not past a piece's rank is its own.
     placed = ranked.join(F.broadcast(table), F.col("length") == F.col("len"))
     placed = placed.withColumn("slot", F.size(F.filter("firsts", lambda f: f <= F.col("rank"))) - 1)
     placed = placed.withColumn("i", F.col("rank") - F.col("firsts")[F.col("slot")]).withColumn("where", F.col("places")[F.col("slot")])
     uses = F.size("where").cast("long")
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequences")[F.col("slot")] + F.floor(F.col("i") / uses)).cast("long").alias("sequence_id"), F.col("where")[(F.col("i") % uses).cast("int")].alias("offset"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequences")[F.col("slot")] + F.floor(F.col("i") / uses)).cast("long").alias("sequence_id"), F.col("where")[(F.col("i") % uses).cast("int")].alias("offset"), F.col("steps")[F.col("slot")].alias("placed_by"))
