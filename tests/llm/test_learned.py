@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tidelake.llm import langid, quality
-from tidelake.llm.features import ngrams
+from tidelake.llm.features import drawn, ngrams
 
 from .conftest import fold
 
@@ -34,18 +34,49 @@ def test_quality_on_held_out_documents(spark, tables):
     assert all(0 <= s <= 1 and p == (s >= 0.5) for _, p, s in got)
 
 
-def test_prior_is_estimated_from_positives_and_unlabelled():
+def test_prior_and_cut_are_found_among_all_texts():
     r = np.random.default_rng(5)
-    draw = lambda n, share: np.where(r.random((n, 1)) < share, r.normal(1, 0.3, (n, 8)), r.normal(-1, 0.3, (n, 8))).astype(np.float32)
+    draw = lambda n, share: np.where(r.random((n, 1)) < share, r.normal(1, 0.3, (n, 8)), r.normal(-1, 0.3, (n, 8)))
     for share in (0.3, 0.7, 0.9):
-        assert abs(quality.estimate_prior(draw(1500, 1.0), draw(3000, share)) - share) < 0.06
-
-
-def test_risk_of_the_negative_part_does_not_run_away():
+        p, u = draw(1500, 1.0), draw(6000, share)
+        w = quality.separating(quality.Moments.of(p), quality.Moments.of(u))
+        below = np.searchsorted(np.sort(u @ w[:-1]), p @ w[:-1]) / len(u)
+        prior = quality.estimate_prior(below)
+        assert abs(prior - share) < 0.06 and abs(quality.cut_share(below, prior) - (1 - share)) < 0.05
+
+
+def test_weights_have_the_least_squared_risk():
+    """Against the risk itself, summed over rows, around the weights that were solved for."""
+    r = np.random.default_rng(8)
+    p = r.normal(0.6, 1, (3000, 5))
+    u = np.vstack([r.normal(0.6, 1, (3600, 5)), r.normal(-0.6, 1, (5400, 5))])
+    prior, f = 0.4, lambda x, w: x @ w[:-1] + w[-1]
+    w = quality.non_negative_risk(quality.Moments.of(p), quality.Moments.of(u), prior)
+    risk = lambda v: prior * ((1 - f(p, v)) ** 2 / 4).mean() + ((1 + f(u, v)) ** 2 / 4).mean() - prior * ((1 + f(p, v)) ** 2 / 4).mean()
+    assert abs(quality.negative_risk(w, quality.Moments.of(p), quality.Moments.of(u), prior) - (((1 + f(u, w)) ** 2 / 4).mean() - prior * ((1 + f(p, w)) ** 2 / 4).mean())) < 1e-9
+    assert all(risk(w) <= risk(w + r.normal(0, 0.05, 6)) + 1e-5 for _ in range(50))
+
+
+def test_risk_of_the_negative_part_is_not_negative():
     r = np.random.default_rng(6)
-    p, u = r.normal(0, 1, (40, 200)).astype(np.float32), r.normal(0, 1, (80, 200)).astype(np.float32)
+    p, u = (quality.Moments.of(r.normal(0, 1, (n, 200))) for n in (40, 80))
     w = quality.non_negative_risk(p, u, 0.5)
-    assert np.isfinite(w).all()
+    assert np.isfinite(w).all() and quality.negative_risk(w, p, u, 0.5) >= 0
+
+
+def test_moments_and_shares_are_those_of_all_rows(spark, tables):
+    docs, _ = tables
+    docs = docs.limit(700).repartition(5).cache()
+    features = quality._featured(docs, spark.createDataFrame([], "id long")).df
+    x = np.stack([np.frombuffer(r.x, np.float16) for r in features.collect()]).astype(np.float64)
+    got, want = quality.corpus_moments(features), quality.Moments.of(x)
+    assert got.rows == 700 and np.allclose(got.second, want.second) and np.allclose(got.first, want.first)
+    r = np.random.default_rng(1)
+    w, marks = r.normal(size=quality.WIDTH + 1), np.sort(r.normal(size=30))
+    z = x @ w[:-1] + w[-1]
+    assert np.allclose(quality.shares_below(features, [w, -w], [marks, marks]), [[(s < m).mean() for m in marks] for s in (z, -z)])
+    for share in (0.0, 0.1, 0.9, 1.0):
+        assert abs((z < quality.score_at(features, w, share)).mean() - share) < 0.01
 
 
 def test_support_vectors_separate():
@@ -74,8 +105,28 @@ def test_awkward_documents(spark, with_clashes, no_docs, tables):
     assert got[11, rows[11][1]].lang_pred != "und"
     empty = langid.fit(langid.training_rows(no_docs))
     assert {r.lang_pred for r in langid.identify(df, empty).collect()} == {"und"} and langid.identify(no_docs, model).count() == 0
-    scored = quality.classify(df, quality.fit(docs, labels, 300, 600)).collect()
+    scored = quality.classify(df, quality.fit(docs, labels, 300)).collect()
     assert len(scored) == len(rows) and all(0 <= r.score <= 1 for r in scored)
     nothing = quality.fit(df, labels.where("false"))
     assert {(r.score, r.predicted) for r in quality.classify(df, nothing).collect()} == {(0.5, 1)}
     assert quality.classify(no_docs, nothing).count() == 0 and quality.fit(no_docs, labels).prior == 0.5
+
+
+def test_a_row_repeated_very_often_does_not_crowd_out_others(spark):
+    many = [(1, "der Hund und die Katze", "de")] * 3000 + [(i, f"the house number {i} by the road", "en") for i in range(10, 60)] + [(i, f"das Haus Nummer {i} an der Straße", "de") for i in range(100, 400)]
+    got = drawn(spark.createDataFrame(many, "doc_id long, text string, lang string").repartition(4), "lang", 40, 3).collect()
+    texts = [r.text for r in got]
+    assert len(set(texts)) == len(texts) and 30 <= sum(r.lang == "de" for r in got) < 140 and sum(r.lang == "en" for r in got) >= 25
+
+
+def test_any_number_of_positives_follows_one_rule(spark):
+    """From one positive to many, and with a trusted document that repeats."""
+    good = [(i, " ".join(f"Word{k} and then some." for k in range(i % 7 + 5)), None) for i in range(60)]
+    bad = [(1000 + i, "$$ ## !! " * (5 + i % 6), None) for i in range(20)]
+    docs = spark.createDataFrame([*good, *bad, *[good[0]] * 200], "doc_id long, text string, lang string")
+    for n in (1, 2, 7, 60):
+        model = quality.fit(docs, spark.createDataFrame([(i, 1) for i in range(n)], "doc_id long, quality int"))
+        assert np.isfinite(model.weights).all() and 0 < model.prior < 1
+        got = {r.doc_id: r for r in quality.classify(docs, model).collect()}
+        if n == 60:
+            assert all(got[i].predicted == 1 for i in range(60)) and not any(got[1000 + i].predicted for i in range(20))

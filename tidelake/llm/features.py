@@ -6,12 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_list
+from .common import Saved, binary_list
 
 _BLOCK = 1 << 20
+#: Groups of a draw whose sizes are broadcast, about 4 MB; more are shuffled.
+BROADCAST_GROUPS = 100_000
 
 
 def ngrams(text: bytes | None, table: bytes | None, bins: int) -> np.ndarray:
@@ -51,14 +53,20 @@ def vectors(docs: DataFrame, f: Callable[[bytes | None], np.ndarray]) -> DataFra
     return docs.mapInArrow(run, schema)
 
 
-def chance(seed: int) -> Column:
-    """A number in [0, 1) that hangs on the row's doc_id and text only."""
-    return F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")), F.lit(1 << 40)) / float(1 << 40)
+def drawn(docs: DataFrame, group: str, wanted: int, seed: int) -> DataFrame:
+    """(group, order, text) of about `wanted` texts of each group, or of all if there are fewer, drawn by hash; `group` is never null.
 
-
-def share_for(wanted: int, rows: int) -> float:
-    """A share of the rows that gives the wanted number or somewhat more."""
-    return 1.0 if rows <= wanted else min(1.0, (wanted + 4 * wanted**0.5) / rows)
+    Rows that repeat a doc_id and text are one, so a row repeated very often is drawn once or not at all and crowds out none. Slightly
+    more than `wanted` come back; those of the least `order` are the draw.
+    """
+    key = F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text"))
+    rows = docs.select(group, key.alias("order"), "text")
+    sizes = Saved(rows.groupBy(F.col(group).alias("of")).agg(F.approx_count_distinct("order", 0.02).alias("n")), "sizes").df
+    few = sizes.count() <= BROADCAST_GROUPS
+    share = F.when(F.col("n") <= wanted, 1.0).otherwise(1.2 * (wanted + 4 * wanted**0.5) / F.col("n"))
+    rows = rows.join(F.broadcast(sizes) if few else sizes, F.col(group) == F.col("of"))
+    rows = rows.where(F.pmod("order", F.lit(1 << 40)) < share * float(1 << 40))
+    return rows.groupBy(group, "order").agg(F.first("text").alias("text"))
 
 
 def matrix(rows: list, width: int) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..deploy import ship
 from .common import binary_list, fold
-from .features import chance, matrix, ngrams, share_for, vectors
+from .features import drawn, matrix, ngrams, vectors
 
 PER_LANGUAGE, BINS, UNKNOWN = 400, 4096, "und"
 #: A profile is mixed with so much of the even distribution. A text is foreign if its mean log-likelihood lies by so much beyond the
@@ -168,15 +168,15 @@ def learned_range(x: dict[str, np.ndarray], letters: np.ndarray) -> tuple[np.nda
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from the rows of `docs` (doc_id, text, lang) with a lang and a text of letters; at most `per_language` of each lang."""
+    """Learn from the rows of `docs` (doc_id, text, lang) with a lang and a text of letters; at most `per_language` of each lang.
+
+    Rows that repeat a doc_id and text count once. The driver holds the drawn texts' vectors and, at the end, weights for each family and
+    each pair of languages of a family. An empty table, or one without a lang, gives a model that knows no language.
+    """
     known = docs.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    sizes = {r["lang"]: r["n"] for r in docs.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return Model()
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(share_for(per_language, n))) for k, n in sorted(sizes.items())])
-    drawn = known.where(chance(11) < share).select("lang", chance(11).alias("order"), F.col("text").cast("string").alias("text"))
+    texts = drawn(known.select("doc_id", "lang", F.col("text").cast("string").alias("text")), "lang", per_language, 11)
     by_lang: dict[str, list] = defaultdict(list)
-    for r in sorted(vectors(drawn, _vector_and_share).collect(), key=lambda r: (r["order"], r["x"])):
+    for r in sorted(vectors(texts, _vector_and_share).collect(), key=lambda r: (r["order"], r["x"])):
         if len(by_lang[r["lang"]]) < per_language:
             by_lang[r["lang"]].append(r)
     langs = sorted(k for k, v in by_lang.items() if v)
@@ -202,7 +202,7 @@ def identify(docs: DataFrame, model: Model, reject: bool = False) -> DataFrame:
 
     lang_pred is a language that was learned, or `und`, with score 0, where the text is null or has no letter or nothing was learned.
     With `reject`, it is `und` also for a text that is far from all learned languages or hardly has letters; without, the nearest is given.
-    Repeated rows stay; whole texts of any length are read.
+    Repeated rows stay, and an empty table gives an empty result; whole texts of any length are read.
     """
     spark = docs.sparkSession
     ship(spark)
