@@ -1,40 +1,55 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counting: each task merges the hashes of its tokens and of its pairs of neighbouring tokens and sends them, packed by hash range, to
-the slice of that range, so a frequent n-gram arrives once a task. A slice adds up the counts, keeps those of single tokens exactly for the base
-score, and puts every n-gram into its part of the filter once for each level up to its quantised count, 1 + floor(log2 count).
-The number of slices follows the text, so a slice holds a bounded number of n-grams however many there are.
+the slice of that range, so a frequent n-gram arrives once a task. A slice adds up the counts, keeps those of single tokens exactly, and
+puts the pairs' quantised counts into its part of the filter: one entry for each step up to the count, of one up to EXACT and of doublings
+beyond, and MANTISSA bits within the last doubling, so that a count is read back exactly or to 1/128. The slices follow the text, so each
+holds a bounded number of n-grams however many there are.
 
-Scoring: the filter is broadcast. A count is read by probing level after level until one is missing; a pair's probability is
-interpolated from the counts so read. What is broadcast at once is bounded by PASS_BYTES: a larger filter is broadcast a run of slices
-at a time, and each pass fills in the levels of the n-grams whose slices it holds.
+The model is a pair model under a Dirichlet prior of MASS draws from the token model p1:
+
+    p(w | v) = (count(v, w) + MASS * p1(w)) / (count(v) + false + MASS),    p1(w) = (count(w) + 1) / (N + V + 1)
+
+count(v) is exact and is what the counts of its pairs sum to. `false` is what the filter's false positives are expected to add over the
+vocabulary, V times their rate; the rate falls as V grows (a first entry has log2(V / FALSE) probes), so `false` stays within some FALSE.
+Over the vocabulary and one unknown word p sums to 1, give or take under a hundredth: the spread of the false positives beside MASS, and the 1/128.
+
+Scoring: the filter of up to BROADCAST_TEXT bytes of text is broadcast and probed where the texts are. A larger one stays where it is
+built: blocks of texts send the distinct n-grams they need to the slices that own them, and the answers meet the block's texts, which are
+read once more. That is one pass for counting and two for scoring, however large the model. Both ways give the same scores.
 """
 
 from __future__ import annotations
 
-import mmap
-import os
-import pickle
 from collections.abc import Iterator
+from math import ceil, log, log2
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..deploy import ship
-from .common import Saved, binary_list, mix, word_hashes
-
-#: Bytes of text a slice stands for, of filter a pass broadcasts, and tokens a task holds before it merges them.
-SLICE_BYTES, PASS_BYTES, FLUSH_TOKENS = 16 << 20, 256 << 20, 2_000_000
-#: Filter bits an entry gets; bits it sets in its 64-bit word.
-BITS, PROBES = 10, 5
-#: Weight of the pair's share against the token's.
-PAIR_WEIGHT = 0.4
+from .common import Saved, binary_list, mix, small_batches, word_hashes
+
+#: Bytes of text a slice stands for, and tokens a task holds before it merges them.
+SLICE_BYTES, FLUSH_TOKENS = 16 << 20, 2_000_000
+#: Bytes of training text up to which the filter is broadcast: a token has two bytes at least and takes the model some 20 at most, so ten
+#: times as much; prose takes about as much as its text. And bytes of text in a block that asks the slices of a larger model.
+BROADCAST_TEXT, BLOCK_BYTES = 32 << 20, 4 << 20
+#: Draws of the token model that stand beside a context's own pairs, and false pairs of a context that the filter may show.
+MASS, FALSE = 1000.0, 64
+#: Counts that have an entry for each step, bits within a doubling beyond, and probes of entries other than a pair's first.
+EXACT, MANTISSA, PROBES = 8, 6, 10
+#: Bits of a pair's hash that tell it from others of its slice, and most bits that name the slice.
+KEY_BITS, MOST_SLICE_BITS = 40, 24
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line break
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+_KEY = np.uint64((1 << KEY_BITS) - 1)
 
 
 def tokens(text: bytes | None) -> np.ndarray:
@@ -46,33 +61,63 @@ def tokens(text: bytes | None) -> np.ndarray:
     return out
 
 
-def pairs(t: np.ndarray) -> np.ndarray:
-    """Hashes of each token with the one before it; before the first there is an end."""
-    return mix(np.concatenate([[END], t[:-1]]) * _PAIR + t)
+def pairs(t: np.ndarray, bits: int) -> np.ndarray:
+    """The slice and key, in one number, of each token with the one before it; before the first there is an end."""
+    return mix(np.concatenate([[END], t[:-1]]) * _PAIR + t) >> np.uint64(MOST_SLICE_BITS - bits)
+
+
+def _token_slice(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+def _pair_slice(p: np.ndarray) -> np.ndarray:
+    return (p >> np.uint64(KEY_BITS)).astype(np.int64)
 
 
-def _merged(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        return np.unique(hashes, return_counts=True)
+def _merged(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(hashes, kind="stable")
     hashes = hashes[order]
     first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
     return hashes[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, byte plane by byte plane, of which the upper ones hardly change and compress."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].T).tobytes()
+
+
+def unpack_keys(data) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(KEY_BITS // 8, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : KEY_BITS // 8] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def _batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, schema)], names=[n for n, _ in schema])
+
+
+_COUNTED = [("slice", pa.int32()), ("tokens", pa.binary()), ("token_counts", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary())]
+
+
 def _counted(docs: DataFrame, bits: int) -> DataFrame:
-    """(slice, kind, hashes, counts) of what each task has merged; kind 1 is tokens, 2 is pairs."""
+    """What each task has merged, a row for each slice."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, hashes in ((1, np.concatenate(held)), (2, np.concatenate([pairs(t) for t in held]))):
-                h, c = _merged(hashes)
-                part = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-                edges = np.flatnonzero(np.diff(part, prepend=-1))
-                for a, b in zip(edges, np.append(edges[1:], len(h))):
-                    yield pa.RecordBatch.from_arrays([pa.array([part[a]], pa.int32()), pa.array([kind], pa.int32()), pa.array([h[a:b].tobytes()], pa.binary()), pa.array([c[a:b].astype(np.uint32).tobytes()], pa.binary())], names=["slice", "kind", "hashes", "counts"])
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            p, d = np.unique(np.concatenate([pairs(t, bits) for t in held]), return_counts=True)
+            times = -(-d // 255)  # a count goes in a byte; a larger one is sent in pieces
+            d = np.where(np.arange(times.sum()) == np.repeat(np.cumsum(times) - 1, times), np.repeat(d - 255 * (times - 1), times), 255)
+            p = np.repeat(p, times)
+            ranges = np.arange((1 << bits) + 1)
+            at, of = np.searchsorted(_token_slice(h, bits), ranges), np.searchsorted(_pair_slice(p), ranges)
+            for s in np.flatnonzero((at[1:] > at[:-1]) | (of[1:] > of[:-1])):
+                t, q = slice(at[s], at[s + 1]), slice(of[s], of[s + 1])
+                yield _batch(_COUNTED, [(int(s), h[t].tobytes(), c[t].astype(np.uint32).tobytes(), pack_keys(p[q] & _KEY), d[q].astype(np.uint8).tobytes())])
 
         size = 0
         for batch in it:
@@ -86,218 +131,299 @@ def _counted(docs: DataFrame, bits: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "slice int, kind int, hashes binary, counts binary")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "slice int, tokens binary, token_counts binary, pairs binary, pair_counts binary")
+
+
+class Slice:
+    """The n-grams of a hash range: exact counts of tokens, and a Bloom filter of the pairs' quantised counts."""
+
+    def __init__(self, uni: np.ndarray, counts: np.ndarray, bits: np.ndarray, size: int, probes: int):
+        self.uni, self.counts, self.bits, self.size, self.probes = uni, counts, bits, size, probes
+
+    @classmethod
+    def build(cls, uni: np.ndarray, counts: np.ndarray, keys: np.ndarray, pair_counts: np.ndarray, vocabulary: float) -> Slice:
+        """`vocabulary` is V, or what this slice lets expect of it."""
+        probes = max(PROBES, ceil(log2(max(2.0, vocabulary / FALSE))))
+        entries = list(_entries(pair_counts))
+        size = max(64, ceil(sum((probes if entry == 1 else PROBES) * n for entry, n in ((e, len(at)) for e, at in entries)) / log(2)))
+        out = cls(uni, counts, np.zeros(0, np.uint8), size, probes)
+        flags = np.zeros(size, bool)
+        for entry, at in entries:
+            for place in out._places(keys[at], entry):
+                flags[place] = True
+        out.bits = np.packbits(flags)
+        return out
+
+    def _places(self, keys: np.ndarray, entry: int) -> Iterator[np.ndarray]:
+        at = mix(keys + np.uint64(entry * 0xD1342543DE82EF95 % 2**64))
+        step = mix(at) | np.uint64(1)
+        for _ in range(self.probes if entry == 1 else PROBES):
+            yield (((at >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+            at = at + step
+
+    def holds(self, keys: np.ndarray, entry: int) -> np.ndarray:
+        """Which of the pairs have this entry, by probing until a bit is missing."""
+        out = np.arange(len(keys))
+        probes = self.probes if entry == 1 else PROBES
+        at = mix(keys + np.uint64(entry * 0xD1342543DE82EF95 % 2**64))
+        step = mix(at) | np.uint64(1)
+        for _ in range(probes):
+            place = (((at >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+            hit = (self.bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+            out, at, step = out[hit], at[hit] + step[hit], step[hit]
+            if not len(out):
+                break
+        return out
 
+    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
+        """Counts as the filter tells them; zero for pairs it has not."""
+        out = np.zeros(len(keys), np.float32)
+        which, step = np.arange(len(keys)), 1
+        while len(which) and step < 64:
+            which = which[self.holds(keys[which], step)]
+            out[which] = float(step) if step <= EXACT else float(EXACT << (step - EXACT))
+            step += 1
+        large = np.flatnonzero(out >= EXACT)
+        base = out[large].astype(np.float64)
+        part = np.zeros(len(large))
+        for octave in np.unique(base):
+            here = np.flatnonzero(base == octave)
+            for j in range(MANTISSA):
+                part[here[self.holds(keys[large[here]], _mantissa_entry(int(octave), j))]] += 1 << j
+        value = base + part * base / (1 << MANTISSA)
+        out[large] = np.where(base > 1 << MANTISSA, value + base / (2 << MANTISSA), np.round(value))
+        return out
 
-def _word_and_mask(hashes: np.ndarray, level: int, words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the filter holds (n-gram, level): a 64-bit word, and the bits of it."""
-    h = mix(hashes + np.uint64(level * 0xD1342543DE82EF95 % 2**64))
-    at = ((h >> np.uint64(32)) * np.asarray(words, np.uint64)) >> np.uint64(32)
-    mask, rest = np.zeros(len(h), np.uint64), mix(h)
-    for _ in range(PROBES):
-        mask |= np.uint64(1) << (rest & np.uint64(63))
-        rest >>= np.uint64(6)
-    return at.astype(np.int64), mask
+    def token_counts(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.uni):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.uni, hashes), len(self.uni) - 1)
+        return np.where(self.uni[at] == hashes, self.counts[at], 0)
 
+    def false_rate(self) -> float:
+        """The chance that the filter shows a pair it has not."""
+        full = int(np.bitwise_count(self.bits).sum()) / self.size
+        return full**self.probes
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.log2(counts).astype(np.int64)
 
+def _mantissa_entry(octave: int, j: int) -> int:
+    return 64 + octave.bit_length() * MANTISSA + j
 
-def value_of(levels: np.ndarray) -> np.ndarray:
-    """The count that a level stands for."""
-    return np.where(levels > 1, 1.4 * 2.0 ** (levels - 1), levels)
 
+def _entries(counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(entry, places of the pairs that have it) for the steps up to each count and the bits within its last doubling."""
+    step = 1
+    while True:
+        least = step if step <= EXACT else EXACT << (step - EXACT)
+        at = np.flatnonzero(counts >= least)
+        if not len(at):
+            break
+        yield step, at
+        step += 1
+    large = np.flatnonzero(counts >= EXACT)
+    octave = EXACT << np.floor(np.log2(counts[large] / EXACT)).astype(np.int64)
+    part = ((counts[large] - octave) << MANTISSA) // octave
+    for o in np.unique(octave):
+        for j in range(MANTISSA):
+            at = large[(octave == o) & ((part >> j) & 1 == 1)]
+            if len(at):
+                yield _mantissa_entry(int(o), j), at
 
-def build_slice(uni: tuple[np.ndarray, np.ndarray], pair: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The filter of a slice, in 64-bit words."""
-    hashes = np.concatenate([uni[0], pair[0]])
-    levels = levels_of(np.concatenate([uni[1], pair[1]]))
-    out = np.zeros(max(1, -(-int(levels.sum()) * BITS // 64)), np.uint64)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        at, mask = _word_and_mask(hashes[levels >= level], level, len(out))
-        np.bitwise_or.at(out, at, mask)
-    return out
 
+def _built(table: pa.Table, bits: int) -> Slice:
+    """A slice from all that was counted of it."""
+    whole = lambda name, read: np.concatenate([np.zeros(0, read(b"").dtype), *(read(x.as_buffer()) for x in table[name])])
+    uni, counts = _merged(whole("tokens", lambda x: np.frombuffer(x, np.uint64)), whole("token_counts", lambda x: np.frombuffer(x, np.uint32)).astype(np.int64))
+    keys, pair_counts = _merged(whole("pairs", unpack_keys), whole("pair_counts", lambda x: np.frombuffer(x, np.uint8)).astype(np.int64))
+    return Slice.build(uni, counts, keys, pair_counts, len(uni) * 2.0**bits)
 
-def _reduced(counted: DataFrame) -> DataFrame:
-    """(slice, uni, counts, total, words): exact token counts, their sum, and the filter of each slice."""
+
+_SLICE = "slice int, uni binary, counts binary, bits binary, size long, probes int, kinds long, total long, false double"
+
+
+def _reduced(counted: DataFrame, bits: int) -> DataFrame:
+    """A row for each slice that has n-grams."""
 
     def run(table: pa.Table) -> pa.Table:
-        sides = []
-        for kind in (1, 2):
-            rows = [(h, c) for k, h, c in zip(table["kind"].to_pylist(), table["hashes"], table["counts"]) if k == kind]
-            h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(h.as_buffer(), np.uint64) for h, _ in rows)])
-            c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64) for _, c in rows)])
-            sides.append(_merged(h, c))
-            del rows, h, c
-        return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()), "uni": pa.array([sides[0][0].tobytes()], pa.binary()), "counts": pa.array([sides[0][1].tobytes()], pa.binary()), "total": pa.array([int(sides[0][1].sum())], pa.int64()), "words": pa.array([build_slice(*sides).tobytes()], pa.binary())})
-
-    return counted.groupBy("slice").applyInArrow(run, "slice int, uni binary, counts binary, total long, words binary")
-
-
-_START = pickle.dumps(bytearray(1 << 17), pickle.HIGHEST_PROTOCOL).index(bytes(64))  # where a pickled bytearray's content begins
-_MAGIC = b"log-frequency"
-
-
-class Part:
-    """Consecutive slices as they are broadcast: one block of bytes that workers map from the broadcast's file, so that an executor
-    holds it once, whatever the number of its workers."""
-
-    def __init__(self, spark, rows: Iterator, sizes: list, bits: int):
-        """`sizes` has slice, kinds and words of each row, in order."""
-        self.bits, self.first = bits, sizes[0]["slice"]
-        kinds, words = sum(r["kinds"] for r in sizes), sum(r["words"] for r in sizes)
-        n = sizes[-1]["slice"] - self.first + 1
-        self.offset, self.size, self.present = np.zeros(n, np.int64), np.ones(n, np.int64), np.zeros(n, bool)
-        self.pad = 24 + -(_START + 24) % 8
-        self.shape = kinds, words
-        block = bytearray(self.pad + 16 * kinds + 8 * words)
-        block[: len(_MAGIC)] = _MAGIC
-        uni, counts, filters = self._arrays(block, self.pad)
-        first_kind, at_kind = {}, 0
-        for r in sizes:  # slices are ranges of hashes: in their order the tokens' hashes stay sorted
-            i = r["slice"] - self.first
-            self.size[i], self.present[i], first_kind[i] = r["words"], True, at_kind
-            at_kind += r["kinds"]
-        self.offset[self.present] = np.cumsum(self.size[self.present]) - self.size[self.present]
-        for r in rows:
-            i, u, f = r["slice"] - self.first, np.frombuffer(r["uni"], np.uint64), np.frombuffer(r["words"], np.uint64)
-            uni[first_kind[i] : first_kind[i] + len(u)] = u
-            counts[first_kind[i] : first_kind[i] + len(u)] = np.frombuffer(r["counts"], np.int64)
-            filters[self.offset[i] : self.offset[i] + len(f)] = f
-        del uni, counts, filters
-        self.held = spark.sparkContext.broadcast(block)
-
-    def _arrays(self, data, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        kinds, words = self.shape
-        return np.frombuffer(data, np.uint64, kinds, start), np.frombuffer(data, np.int64, kinds, start + 8 * kinds), np.frombuffer(data, np.uint64, words, start + 16 * kinds)
-
-    def open(self) -> Part:
-        """On a worker: map the arrays, or load them where there is no plain file to map."""
-        path = getattr(self.held, "_path", None)
-        if path and os.path.exists(path):
-            with open(path, "rb") as f:
-                data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-            if data[_START : _START + len(_MAGIC)] == _MAGIC:
-                self.uni, self.counts, self.words = self._arrays(data, _START + self.pad)
-                return self
-        self.uni, self.counts, self.words = self._arrays(self.held.value, self.pad)
-        return self
-
-    def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """Levels of n-grams, by probing; zero for those of other parts."""
-        part = ((hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)) - self.first
-        mine = (part >= 0) & (part < len(self.offset))
-        mine[mine] = self.present[part[mine]]
-        out = np.zeros(len(hashes), np.uint8)
-        which = np.flatnonzero(mine)
-        level = 1
-        while len(which) and level < 64:
-            p = part[which]
-            at, mask = _word_and_mask(hashes[which], level, self.size[p])
-            hit = (self.words[at + self.offset[p]] & mask) == mask
-            which = which[hit]
-            out[which] = level
-            level += 1
-        return out
+        s = _built(table, bits)
+        row = (table["slice"][0].as_py(), s.uni.tobytes(), s.counts.tobytes(), s.bits.tobytes(), s.size, s.probes, len(s.uni), int(s.counts.sum()), s.false_rate())
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array([v], t) for v, t in zip(row, kinds)], names=["slice", "uni", "counts", "bits", "size", "probes", "kinds", "total", "false"])
 
-    def exact(self, hashes: np.ndarray) -> np.ndarray:
-        """Counts of tokens; zero for those of other parts."""
-        if not len(self.uni):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.uni, hashes), len(self.uni) - 1)
-        return np.where(self.uni[at] == hashes, self.counts[at], 0)
+    return counted.groupBy("slice").applyInArrow(run, _SLICE)
 
 
-_STATE = "doc_id long, text string, n_known long, known_score double, token_levels binary, pair_levels binary"
-_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+def _slice_of(row) -> Slice:
+    """A slice from a row's values by name."""
+    return Slice(np.frombuffer(row["uni"], np.uint64), np.frombuffer(row["counts"], np.int64), np.frombuffer(row["bits"], np.uint8), row["size"], row["probes"])
 
 
 class Block:
-    """What parts say of some documents: known tokens, the sum of log10(count + 1) over them, and the levels of tokens and pairs."""
+    """Some texts as the distinct tokens and pairs they ask for, both in the order of their slices."""
 
-    def __init__(self, part: Part, texts: list[bytes | None]):
+    def __init__(self, texts: list[bytes | None], bits: int):
         each = [tokens(t) for t in texts]
         self.lengths = np.array([len(t) for t in each])
         self.starts = np.cumsum(self.lengths) - self.lengths
-        kinds, back = np.unique(np.concatenate(each), return_inverse=True)
-        counts = part.exact(kinds)
-        self.known = np.add.reduceat((counts > 0).astype(np.int64)[back], self.starts)
-        self.score = np.add.reduceat(np.log10(counts + 1.0)[back], self.starts)
-        self.token_levels = part.levels(kinds)[back]
-        self.pair_levels = part.levels(np.concatenate([pairs(t) for t in each]))
-
-    def add(self, old: pa.RecordBatch) -> None:
-        """What the parts before this one said."""
-        self.known = self.known + old.column("n_known").to_numpy()
-        self.score = self.score + old.column("known_score").to_numpy()
-        self.token_levels = np.maximum(self.token_levels, np.frombuffer(b"".join(old.column("token_levels").to_pylist()), np.uint8))
-        self.pair_levels = np.maximum(self.pair_levels, np.frombuffer(b"".join(old.column("pair_levels").to_pylist()), np.uint8))
-
-    def state(self, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        cut = lambda levels: pa.array([levels[i : i + n].tobytes() for i, n in zip(self.starts, self.lengths)], pa.binary())
-        return pa.RecordBatch.from_arrays([ids, texts, pa.array(self.known), pa.array(self.score), cut(self.token_levels), cut(self.pair_levels)], names=["doc_id", "text", "n_known", "known_score", "token_levels", "pair_levels"])
-
-    def scored(self, ids: pa.Array, total: int, kinds: int, weight: float) -> pa.RecordBatch:
-        """Scores, once every part has been asked."""
-        values = value_of(np.arange(64))
-        token, pair = values[self.token_levels], values[self.pair_levels]
-        before = np.concatenate([[0.0], token[:-1]])
-        before[self.starts] = token[self.starts + self.lengths - 1]  # the end's own count stands before a text's first token
-        alone = (token + 1) / (total + kinds + 1)
-        p = np.where(before > 0, weight * np.minimum(1.0, pair / np.maximum(before, 1.0)) + (1 - weight) * alone, alone)
-        base = self.score - self.lengths * np.log10(total + 1.0 * (kinds + 1))
-        return pa.RecordBatch.from_arrays([ids, pa.array(self.lengths, pa.int64()), pa.array(self.known), pa.array(base), pa.array(np.add.reduceat(np.log10(p), self.starts))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-
-def _passed(docs: DataFrame, part: Part, first: bool, last: tuple[int, int, float] | None) -> DataFrame:
-    """Asks one part about every document; after the last part, the scores."""
+        self.kinds, self.kind = np.unique(np.concatenate(each), return_inverse=True)
+        self.pairs, self.pair = np.unique(np.concatenate([pairs(t, bits) for t in each]), return_inverse=True)
+        ranges = np.arange((1 << bits) + 1)
+        self.kind_at, self.pair_at = np.searchsorted(_token_slice(self.kinds, bits), ranges), np.searchsorted(_pair_slice(self.pairs), ranges)
+
+    def asked(self) -> Iterator[tuple[int, slice, slice]]:
+        """(slice, its tokens, its pairs) for each slice that is asked."""
+        for s in np.flatnonzero((self.kind_at[1:] > self.kind_at[:-1]) | (self.pair_at[1:] > self.pair_at[:-1])):
+            yield int(s), slice(self.kind_at[s], self.kind_at[s + 1]), slice(self.pair_at[s], self.pair_at[s + 1])
+
+    def scored(self, ids: list, counts: np.ndarray, pair_counts: np.ndarray, about: About) -> pa.RecordBatch:
+        """Scores, from the counts of `kinds` and of `pairs`."""
+        log_p1 = np.log10(counts + 1.0) - np.log10(about.total + about.kinds + 1.0)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[self.kind], self.starts)
+        base = np.add.reduceat(np.log10(counts + 1.0)[self.kind], self.starts) - self.lengths * np.log10(about.total + 1.0 * (about.kinds + 1))
+        count = counts[self.kind].astype(np.float64)
+        before = np.concatenate([[0.0], count[:-1]])
+        before[self.starts] = count[self.starts + self.lengths - 1]  # a text begins after an end, and ends with one
+        p = about.probability(pair_counts[self.pair].astype(np.float64), before, 10.0 ** log_p1[self.kind])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(self.lengths, pa.int64()), pa.array(known), pa.array(base), pa.array(np.add.reduceat(np.log10(p), self.starts))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+class About:
+    """What all slices add up to."""
+
+    def __init__(self, slices: DataFrame, bits: int, mass: float):
+        r = slices.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds"), F.sum("false").alias("false")).first()
+        self.total, self.kinds, self.mass = int(r["total"] or 0), int(r["kinds"] or 0), mass
+        self.false = (r["false"] or 0.0) / (1 << bits) * (self.kinds + 1)
+
+    def probability(self, pair: np.ndarray, before: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        return (pair + self.mass * alone) / (before + self.false + self.mass)
+
+
+_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _blocks(it: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes | None]]]:
+    """(ids, texts) of rows in turn, cut where `most` bytes of text are reached."""
+    ids, texts, size = [], [], 0
+    for batch in it:
+        for i, text in zip(batch.column(0).to_pylist(), binary_list(batch.column(1))):
+            ids.append(i)
+            texts.append(text)
+            size += len(text or b"") + 1
+            if size >= most:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def _by_broadcast(docs: DataFrame, training: DataFrame, bits: int, mass: float) -> tuple[DataFrame, About]:
+    """Every worker probes the whole filter."""
+    slices = Saved(_reduced(_counted(training, bits), bits), "filter")
+    about = About(slices.df, bits, mass)
+    held = docs.sparkSession.sparkContext.broadcast({r["slice"]: _slice_of(r) for r in slices.df.collect()})  # bounded by BROADCAST_TEXT
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = part.open()
-        for whole in it:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                block = Block(opened, binary_list(batch.column(1)))
-                if not first:
-                    block.add(batch)
-                ids = batch.column(0).cast(pa.int64())
-                yield block.scored(ids, *last) if last else block.state(ids, batch.column(1))
+        model = held.value
+        for ids, texts in _blocks(it, 1 << 20):
+            block = Block(texts, bits)
+            counts, pair_counts = np.zeros(len(block.kinds), np.int64), np.zeros(len(block.pairs), np.float32)
+            for s, t, p in block.asked():
+                if s in model:
+                    counts[t], pair_counts[p] = model[s].token_counts(block.kinds[t]), model[s].pair_counts(block.pairs[p] & _KEY)
+            yield block.scored(ids, counts, pair_counts, about)
 
-    return docs.mapInArrow(run, _SCORED if last else _STATE)
+    scored = Saved(docs.mapInArrow(run, _SCORED), "scored")
+    held.destroy()
+    slices.drop()
+    return scored.df, about
 
 
-def score(docs: DataFrame, training: DataFrame, weight: float = PAIR_WEIGHT, slice_bytes: int = SLICE_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
+_ASKED = [("block", pa.string()), ("slice", pa.int32()), ("tokens", pa.binary()), ("pairs", pa.binary())]
+_ANSWER = [("block", pa.string()), ("slice", pa.int32()), ("counts", pa.binary()), ("pair_counts", pa.binary()), ("kinds", pa.int64()), ("total", pa.int64()), ("false", pa.float64())]
+_TEXTS = [("block", pa.string()), ("ids", pa.list_(pa.int64())), ("texts", pa.binary())]
+
+
+def _rereadable(df: DataFrame) -> bool:
+    """Whether the rows are a file scan's, which gives a task the same rows in the same order again."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes = {line.lstrip(" +-:").split(" ")[0].split("[")[0] for line in plan.toString().splitlines() if line.strip()}
+    return bool(plan.deterministic()) and nodes <= {"Project", "Filter", "Relation", "LocalRelation"}
+
+
+def _name(at: int, ids: list, texts: list[bytes | None]) -> str:
+    """A block's name: its task, its place there, and what it holds, so that blocks that were not read alike do not meet."""
+    digest = xxhash.xxh3_128()
+    for i, t in zip(ids, texts):
+        digest.update(f"{i} {-1 if t is None else len(t)} ".encode())
+        digest.update(t or b"")
+    return f"{TaskContext.get().partitionId()}-{at}-{digest.hexdigest()}"
+
+
+def _by_routing(docs: DataFrame, training: DataFrame, bits: int, mass: float) -> tuple[DataFrame, About]:
+    """Blocks of texts ask the slices, and the answers come back to them. A slice is built where it is asked, and kept nowhere."""
+    spark = docs.sparkSession
+    docs = docs if _rereadable(docs) else Saved(docs, "texts").df
+
+    def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, (ids, texts) in enumerate(_blocks(it, BLOCK_BYTES)):
+            block, name = Block(texts, bits), _name(at, ids, texts)
+            rows = [(name, s, block.kinds[t].tobytes(), pack_keys(block.pairs[p] & _KEY)) for s, t, p in block.asked()]
+            for first in range(0, len(rows), 64):
+                yield _batch(_ASKED, rows[first : first + 64])
+
+    def answer(counted: pa.Table, asked: pa.Table) -> pa.Table:
+        own = _built(counted, bits)
+        rows = []
+        for block, s, t, p in zip(*(asked[k] for k in ("block", "slice", "tokens", "pairs"))):
+            counts, pair_counts = own.token_counts(np.frombuffer(t.as_buffer(), np.uint64)), own.pair_counts(unpack_keys(p.as_buffer()))
+            rows.append((block.as_py(), s.as_py(), counts.tobytes(), pair_counts.tobytes(), None, None, None))
+        rows.append((None, None, None, None, len(own.uni), int(own.counts.sum()), own.false_rate()))
+        return pa.Table.from_batches([_batch(_ANSWER, rows)])
+
+    def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for at, (ids, texts) in enumerate(_blocks(it, BLOCK_BYTES)):
+            whole = pa.BufferOutputStream()
+            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_binary())], names=["text"])
+            with pa.ipc.new_stream(whole, batch.schema) as out:
+                out.write_batch(batch)
+            yield _batch(_TEXTS, [(_name(at, ids, texts), ids, pack.compress(whole.getvalue()))])
+
+    def score_block(kept: pa.Table, answers: pa.Table) -> pa.Table:
+        if not kept.num_rows:
+            raise RuntimeError("a block of texts was read otherwise the second time")
+        texts = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(kept["texts"][0].as_py())).read_all()["text"].to_pylist()
+        block = Block(texts, bits)
+        answers = answers.sort_by("slice")
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in answers["counts"]])
+        pair_counts = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in answers["pair_counts"]])
+        return pa.Table.from_batches([block.scored(kept["ids"][0].as_py(), counts, pair_counts, about)])
+
+    asked = docs.mapInArrow(ask, "block string, slice int, tokens binary, pairs binary")
+    with small_batches(spark, 64):
+        both = _counted(training, bits).groupBy("slice").cogroup(asked.groupBy("slice"))
+        answers = Saved(both.applyInArrow(answer, "block string, slice int, counts binary, pair_counts binary, kinds long, total long, false double"), "answers")
+        about = About(answers.df, bits, mass)
+        texts = docs.mapInArrow(keep, "block string, ids array<long>, texts binary")
+        found = answers.df.where("block is not null").select("block", "slice", "counts", "pair_counts")
+        scored = Saved(texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score_block, _SCORED), "scored")
+    answers.drop()
+    return scored.df, about
+
+
+def score(docs: DataFrame, training: DataFrame, mass: float = MASS, slice_bytes: int = SLICE_BYTES, broadcast_text: int = BROADCAST_TEXT) -> DataFrame:
     """Score every row of `docs` (doc_id, text) by a model of `training` (text).
 
     Tokens are runs of bytes other than space and \\x09-\\x0D, A-Z lower-cased, and one end per text. Returns doc_id, n_tokens, n_known
     (tokens that occur in training), train_tokens, base_score (log10 of add-one probabilities of tokens, from exact counts), score (log10 of
-    the model's probability of the text). Null and empty texts are one end. Repeated rows count and are scored each. With nothing to
-    learn from, all counts are zero. Other columns are ignored; whole texts are read.
+    the model's probability of the text). Null and empty texts are one end. Repeated rows count and are scored each; null doc_ids stay
+    null. With nothing to learn from, all counts are zero; an empty table gives no rows. Other columns are ignored; whole texts are read.
     """
     spark = docs.sparkSession
     ship(spark)
     size = training.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    bits = max(0, (-(-size // slice_bytes) - 1).bit_length())
-    slices = Saved(_reduced(_counted(training, bits).repartitionById(1 << bits, F.col("slice"))), "filter")
-    sizes = slices.df.select("slice", "total", F.expr("octet_length(uni) div 8").alias("kinds"), F.expr("octet_length(words) div 8").alias("words"))
-    sizes = sorted(sizes.collect(), key=lambda r: r["slice"])  # a row for each slice, four numbers
-    total, kinds = sum(r["total"] for r in sizes), sum(r["kinds"] for r in sizes)
-    runs: list[list] = []
-    room = 0
-    for r in sizes:
-        need = 16 * r["kinds"] + 8 * r["words"]
-        if not runs or need > room:
-            runs.append([])
-            room = pass_bytes
-        runs[-1].append(r)
-        room -= need
-    state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for i, run in enumerate(runs or [[{"slice": 0, "kinds": 0, "words": 1}]]):
-        rows = slices.df.where(F.col("slice").between(run[0]["slice"], run[-1]["slice"])).toLocalIterator() if runs else [{"slice": 0, "uni": b"", "counts": b"", "words": bytes(8)}]
-        final = i + 1 >= len(runs)
-        state = _passed(state, Part(spark, rows, run, bits), not i, (int(total), int(kinds), weight) if final else None)
-        if not final:
-            state = Saved(state, "levels").df  # a worker holds one part at a time
-    return state.withColumn("train_tokens", F.lit(int(total)).cast("long"))
+    bits = min(MOST_SLICE_BITS, max(0, (-(-size // slice_bytes) - 1).bit_length()))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored, about = (_by_broadcast if size <= broadcast_text else _by_routing)(rows, training, bits, mass)
+    return scored.withColumn("train_tokens", F.lit(about.total).cast("long"))
