@@ -97,6 +97,75 @@ def test_a_third_of_copies_still_splits_evenly(spark):
     assert max(sizes) < 1.03 * min(sizes)
 
 
+def by_brute_force(rows, dims, shards, at=0):
+    """{row: shard} by the same tree over all rows at once; rows are (row, size, keys), a sort key for each dimension."""
+    if shards == 1 or not rows:
+        return {r: at for r, _, _ in rows}
+    total = sum(s for _, s, _ in rows)
+    value = lambda k: (k >> (sharding.TEXT_BITS + sharding.ID_BITS)) / (1 << sharding.VALUE_BITS)
+    spread = [sum(s * value(k[d]) ** 2 for _, s, k in rows) / total - (sum(s * value(k[d]) for _, s, k in rows) / total) ** 2 for d in range(dims)]
+    d = max(range(dims), key=lambda i: (round(spread[i], 12), -i))
+    want, below = total * (shards // 2) / shards, 0
+    for bits in (sharding.ID_BITS, 0):  # groups of equal value and text first, then rows
+        groups = Counter()
+        for _, s, k in rows:
+            groups[k[d] >> bits] += s
+        below = 0
+        for g in sorted(groups):
+            if below + groups[g] >= want:
+                break
+            below += groups[g]
+        alone = sum(k[d] >> bits == g for _, _, k in rows) == 1
+        if alone or groups[g] <= sharding.GROUP_SLACK * total / shards:
+            break
+    cut = (g + (below + groups[g] - want < want - below)) << bits
+    left = shards // 2
+    return by_brute_force([r for r in rows if r[2][d] < cut], dims, left, at) | by_brute_force([r for r in rows if r[2][d] >= cut], dims, shards - left, at + left)
+
+
+def test_tree_is_that_of_brute_force(spark):
+    r = random.Random(12)
+    docs = [(i, prose(r.randrange(400), r.randint(1, 300)), f"https://site{r.randrange(30)}.example", r.choice(["de", "en", "es", None])) for i in range(700)]
+    docs += [(2000 + i, prose(1, 900), "https://site1.example", "en") for i in range(40)] + [(3000, "one row", "https://x", "fr")] * 90
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").repartition(3)
+    df = sharding.Saved(df, "docs").df
+    dims = ["source", "lang", "size"]
+    scaled = sharding._scaled(sharding.Saved(sharding._grouped(sharding.Saved(sharding._metadata(df, dims), "m").df, 3), "g").df, 3).collect()
+    assert all(len({x[f"d{i}"] for x in scaled}) > 2 for i in range(3))
+    for shards in (2, 5, 8):
+        want = by_brute_force([((x.doc_id, x.row), x["size"], [(x[f"d{i}"] << (sharding.TEXT_BITS + sharding.ID_BITS)) | x.tail for i in range(3)]) for x in scaled], 3, shards)
+        got = Counter((x.doc_id, x.shard) for x in sharding.kd_shards(df, shards=shards).collect())
+        assert got == Counter((d, s) for (d, _), s in want.items())
+
+
+def test_texts_keep_their_order_on_a_dimension(spark):
+    names = ["https://a.example/x", "https://b.example/", "https://ba.example/", "https://c.example/é", None, "https://"]
+    df = spark.createDataFrame([(i, f"text {i}", n, "en") for i, n in enumerate(names)], "doc_id long, text string, source string, lang string")
+    got = {x.doc_id: x for x in sharding._scaled(sharding.Saved(sharding._metadata(df, ["source", "lang", "absent"]), "m").df, 3).collect()}
+    order = sorted((n for n in names if n), key=str.encode)
+    places = [got[names.index(n)].d0 for n in order]
+    assert places == sorted(places) and len(set(places)) == len(places) and got[4].d0 == 0 and {(x.d1, x.d2) for x in got.values()} == {(0, 0)}
+
+
+def test_a_row_repeated_very_often_is_dealt_evenly(spark):
+    docs = [(1, "the same row", "s", "en")] * 4000 + [(i, prose(i, 6), f"s{i % 9}", "de") for i in range(10, 2010)]
+    got = shard_rows(spark, docs, shards=8)
+    check_shards(got, docs, 8)
+    sizes = [sum(r["size"] for r in got if r.shard == s) for s in range(8)]
+    assert max(sizes) < 1.01 * min(sizes)
+    assert {r.group_cut for r in got if r.doc_id == 1} == {True} and {r.group_cut for r in got if r.doc_id != 1} == {False}
+
+
+def test_many_shards_by_target(spark):
+    docs = [(i, prose(i, 20), f"s{i % 50}", "de") for i in range(3000)]
+    total = sum(len(t) + 1 for _, t, *_ in docs)
+    got = shard_rows(spark, docs, target_bytes=total // 100)
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard] += r["size"]
+    assert len(sizes) in (100, 101) and max(sizes.values()) < 1.1 * total / 100
+
+
 def test_awkward_shards(spark, with_clashes, no_docs, tmp_path):
     df, rows = with_clashes
     got = sharding.kd_shards(df, shards=8).collect()

@@ -63,7 +63,7 @@ def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_shard_kd_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.kd_shards(read(spark, sf_dir, "documents"), shards=8)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "group_cut")
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
