@@ -42,7 +42,7 @@ def test_index_finds_what_a_scan_finds(symbols, n):
     text = np.array([0, *symbols], np.int64)
     index = D.FMIndex(text, 4, sample=3)
     patterns = np.array([[1 + (k // 4**j) % 4 for j in range(n)] for k in range(4**n)], np.int64)
-    which, lo, hi = index.search(patterns)
+    which, lo, hi = index.search(patterns.ravel(), np.arange(len(patterns)) * n, n)
     got = {int(p): sorted(index.locate(np.arange(a, b)).tolist()) for p, a, b in zip(which, lo, hi)}
     want = {}
     for k, p in enumerate(patterns):
@@ -117,3 +117,31 @@ def test_small_shards_find_the_same(spark):
     patterns = D.Patterns([(i, (t or "").encode()) for i, t in items], 10)
     texts = [t.encode() if t else None for _, t in docs]
     assert D.hits(texts, patterns) == [x for t in texts for x in D.hits([t], patterns)]
+
+
+def test_windows_of_absent_words_are_not_searched():
+    patterns = D.Patterns([(1, b"one two three four"), (2, b"two three one two"), (3, b"nine")], 2)
+    there = np.array([patterns.vocabulary[w] for w in (b"one", b"two", b"three")])
+    n, which = next((n, w) for n, w in patterns.possible(there) if n == 2)
+    _, places, _, _ = next(g for g in patterns.groups if g[0] == n)
+    names = {v: k for k, v in patterns.vocabulary.items()}
+    got = {tuple(names[x] for x in patterns.text[p : p + n]) for p in places[which]}
+    assert got == {(b"one", b"two"), (b"two", b"three"), (b"three", b"one")} and len(places) == 4
+    assert not any(len(w) for _, w in patterns.possible(np.zeros(0, np.int64)))
+
+
+def test_patterns_take_bytes_in_proportion_to_their_words():
+    import pickle
+
+    texts = [(i, prose(i, 2000, 8 * 5 * 8).encode()) for i in range(60)]
+    n = sum(len(t.split()) for _, t in texts)
+    assert len(pickle.dumps(D.Patterns(texts, 10))) < 30 * n
+
+
+def test_shards_span_batches():
+    import pyarrow as pa
+
+    batch = lambda ts: pa.RecordBatch.from_arrays([pa.array(ts, pa.string())], names=["text"])
+    held = list(D._shards(iter([batch(["a", "b"]), batch([]), batch([None, "x" * (D.HELD_BYTES + 5), "c"]), batch(["d"])])))
+    assert [t for _, ts in held for t in ts] == [b"a", b"b", None, b"x" * (D.HELD_BYTES + 5), b"c", b"d"]
+    assert [len(ts) for _, ts in held] == [3, 1, 2] and all(sum(b.num_rows for b in bs) == len(ts) for bs, ts in held)

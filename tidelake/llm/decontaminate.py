@@ -2,10 +2,10 @@
 
 The alphabet is the vocabulary of the benchmark's items; every other word of a document is a separator. An occurrence of a window
 lies within one run of alphabet words, so runs shorter than the shortest window cannot hold one and stay out of the index. The
-runs of a shard, those of one Arrow batch until the index has SHARD symbols, are sorted by suffix; a longer run is split into pieces
-that overlap by a window less one word. An index does not span batches, so it may have fewer symbols. The resulting
-transform is held as a wavelet matrix. All windows are searched backwards at once, each step two rank queries a window; the
-occurrences are located by stepping back to a sampled suffix position; their spans are merged for each document.
+runs of a shard, those of HELD_BYTES of text until the index has SHARD symbols, are sorted by suffix; a longer run is split into pieces
+that overlap by a window less one word. The resulting transform is held as a wavelet matrix. The windows whose words all occur in the
+shard are searched backwards at once, each step two rank queries a window; the occurrences are located by stepping back to a
+sampled suffix position; their spans are merged for each document.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from .common import Saved, binary_list
 #: Symbols of an index at most, its separators included, and the distance of sampled suffix positions.
 SHARD, SAMPLE = 1_000_000, 16
 #: Documents held at most at once, in bytes of text; a longer one is held alone.
-HELD_BYTES = 64 << 20
-#: Bytes of benchmark text that are broadcast at once; a larger benchmark is searched in that many blocks in turn.
-BLOCK_BYTES = 32 << 20
+HELD_BYTES = 16 << 20
+#: Bytes of benchmark text that are broadcast at once, some 30 MB of patterns; a larger benchmark is searched in that many blocks in turn.
+BLOCK_BYTES = 8 << 20
+#: Rows with a hit that are broadcast when there are several blocks; more are shuffled.
+BROADCAST_HITS = 100_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -40,22 +42,40 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 class Patterns:
-    """The distinct windows of some items, by length, and the items that each belongs to."""
+    """The distinct windows of some items, by length, and the items that each belongs to.
+
+    `text` is the items' words as symbols, item after item; a window is a place there. So some 20 bytes are held for each word.
+    """
 
     def __init__(self, items: list[tuple[object, bytes | None]], window: int):
         self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set] = defaultdict(set)
-        for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            n = min(window, len(ids))
-            for at in range(len(ids) - n + 1 if n else 0):
-                owners[tuple(ids[at : at + n])].add(item)
+        self.names = [None if item is None else str(item) for item, _ in items]
+        each = [np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)), np.int32) for _, text in items]
+        self.text = np.concatenate([np.zeros(0, np.int32), *each])
+        ends = np.cumsum([len(x) for x in each], dtype=np.int64)
         by_length: dict[int, list] = defaultdict(list)
-        for w in owners:
-            by_length[len(w)].append(w)
-        self.groups = [(n, np.array(w, np.int64), [sorted(str(i) for i in owners[x] if i is not None) for x in w]) for n, w in sorted(by_length.items())]
+        for i, (x, end) in enumerate(zip(each, ends)):
+            if len(x):
+                n = min(window, len(x))
+                by_length[n].append((np.arange(end - len(x), end - n + 1), np.full(len(x) - n + 1, i)))
+        #: (length, places of distinct windows, where each one's owners begin, owners as numbers of items)
+        self.groups: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in sorted(by_length):
+            places, owners = (np.concatenate(c) for c in zip(*by_length[n]))
+            rows = np.ascontiguousarray(self.text[places[:, None] + np.arange(n)])
+            _, first, kind = np.unique(rows.view([("", rows.dtype)] * n).ravel(), return_index=True, return_inverse=True)
+            pairs = np.unique(np.column_stack([kind, owners]), axis=0)
+            self.groups.append((n, places[first].astype(np.int32), np.searchsorted(pairs[:, 0], np.arange(len(first) + 1)), pairs[:, 1].astype(np.int32)))
         self.shortest = self.groups[0][0] if self.groups else 0
 
+    def possible(self, symbols: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(length, which windows) whose words are all among these symbols."""
+        there = np.zeros(len(self.vocabulary) + 1, bool)
+        there[symbols] = True
+        missing = np.concatenate([[0], np.cumsum(~there[self.text])])
+        for n, places, _, _ in self.groups:
+            yield n, np.flatnonzero(missing[places + n] == missing[places])
+
 
 class FMIndex:
     """Over a sequence of symbols 1..sigma with separators 0; the first symbol is a separator."""
@@ -104,12 +124,12 @@ class FMIndex:
             at = np.where(bit, zeros + r, at - r)
         return c
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(pattern, first row, row after the last) of each pattern that occurs."""
-        which = np.arange(len(patterns))
-        lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), len(self.marked), np.int64)
-        for j in range(patterns.shape[1] - 1, -1, -1):
-            c = patterns[which, j]
+    def search(self, text: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pattern, first row, row after the last) of each pattern that occurs; a pattern is n symbols of `text` from its place on."""
+        which = np.arange(len(places))
+        lo, hi = np.zeros(len(places), np.int64), np.full(len(places), len(self.marked), np.int64)
+        for j in range(n - 1, -1, -1):
+            c = text[places[which] + j].astype(np.int64)
             lo, hi = self.starts[c] + self.rank(c, lo), self.starts[c] + self.rank(c, hi)
             alive = lo < hi
             which, lo, hi = which[alive], lo[alive], hi[alive]
@@ -209,20 +229,21 @@ def _search(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, doc_starts: np.
     text = ids[at].copy()
     text[offsets[:-1]] = 0
     index = FMIndex(text, len(patterns.vocabulary))
-    for n, windows, owners in patterns.groups:
-        which, lo, hi = index.search(windows)
+    for (n, could), (_, places, begins, owners) in zip(patterns.possible(text), patterns.groups):
+        which, lo, hi = index.search(patterns.text, places[could], n)
         if not len(which):
             continue
+        which = could[which]
         times = hi - lo
         rows = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - lo, times)
         where = at[index.locate(rows)]
         doc = np.searchsorted(doc_starts, where, "right") - 1
         pattern = np.repeat(which, times)
         for k in np.lexsort((where, doc)):
-            d = int(doc[k])
+            d, p = int(doc[k]), int(pattern[k])
             start = int(where[k] - doc_starts[d])
             found[d][1].append((start, start + n))
-            found[d][2].update(owners[pattern[k]])
+            found[d][2].update(name for i in owners[begins[p] : begins[p + 1]] if (name := patterns.names[i]) is not None)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -250,25 +271,81 @@ _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
 
 
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Patterns]:
-    """Items are read in blocks of a bounded size."""
+    """Items are read in blocks of a bounded size, one at a time."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
+    n = _block_count(benchmark, block_bytes)
     for i in range(n):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) if n > 1 else rows
         yield Patterns([(r["item"], r["text"].encode()) for r in part.collect()], window)
 
 
-def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Slices of batches and their texts, each of at most HELD_BYTES or one text."""
+def _block_count(benchmark: DataFrame, block_bytes: int) -> int:
+    return max(1, -(-(benchmark.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) // block_bytes))
+
+
+def _shards(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[bytes | None]]]:
+    """Rows in turn, across batches, and their texts, until HELD_BYTES are reached; one row at least."""
+    held: list[pa.RecordBatch] = []
+    texts: list[bytes | None] = []
+    size = 0
     for batch in it:
-        texts, first, size = binary_list(batch.column("text")), 0, 0
-        for i, text in enumerate(texts):
-            if i > first and size + len(text or b"") > HELD_BYTES:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, size = i, 0
+        first = 0
+        for i, text in enumerate(binary_list(batch.column("text"))):
+            if texts and size + len(text or b"") > HELD_BYTES:
+                yield [*held, batch.slice(first, i - first)], texts
+                held, texts, first, size = [], [], i, 0
+            texts.append(text)
             size += len(text or b"")
-        yield batch.slice(first), texts[first:]
+        held.append(batch.slice(first))
+    if texts:
+        yield held, texts
+
+
+def _by_batch(held: list[pa.RecordBatch], values: list) -> Iterator[tuple[pa.RecordBatch, list]]:
+    at = 0
+    for batch in held:
+        if batch.num_rows:
+            yield batch, values[at : at + batch.num_rows]
+        at += batch.num_rows
+
+
+_FOUND = ("n_words", "n_hit", "items", "spans")
+
+
+def _with_found(batch: pa.RecordBatch, found: list[tuple[int, list, set]]) -> pa.RecordBatch:
+    """The columns of a batch that are no results, and the results."""
+    keep = [i for i, name in enumerate(batch.schema.names) if name not in _FOUND]
+    cols = [pa.array([n for n, _, _ in found], pa.int64()), pa.array([sum(b - a for a, b in s) for _, s, _ in found], pa.int64()), pa.array([sorted(i) for _, _, i in found], pa.list_(pa.string())), pa.array([[{"first": a, "after": b} for a, b in s] for _, s, _ in found], _SPANS)]
+    return pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *cols], names=[*(batch.schema.names[i] for i in keep), *_FOUND])
+
+
+def _searched(df: DataFrame, held, only_hits: bool = False) -> DataFrame:
+    """The columns of `df`, one of which is text, and what a block of patterns finds."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batches, texts in _shards(it):
+            for batch, found in _by_batch(batches, hits(texts, held.value)):
+                out = _with_found(batch, found)
+                yield out.filter(pa.array([bool(s) for _, s, _ in found], pa.bool_())) if only_hits else out
+
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema.fields if f.name not in _FOUND), *_found_type().fields]))
+
+
+def _hits_by_row(rows: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> Saved:
+    """(__of, many_spans, many_items) of the rows (__row, text) in which some block finds something. Blocks are broadcast one after another."""
+    out: DataFrame | None = None
+    sc = rows.sparkSession.sparkContext
+    for patterns in _blocks(benchmark, window, block_bytes):
+        held = sc.broadcast(patterns)
+        part = Saved(_searched(rows.select("__row", "text"), held, only_hits=True).select("__row", "spans", "items"), "hits").df
+        held.destroy()
+        out = part if out is None else out.unionByName(part)
+    return Saved(out.groupBy(F.col("__row").alias("__of")).agg(F.flatten(F.collect_list("spans")).alias("many_spans"), F.flatten(F.collect_list("items")).alias("many_items")), "hits")
+
+
+def _joined(rows: DataFrame, found: Saved, how: str) -> DataFrame:
+    few = found.df.count() <= BROADCAST_HITS
+    return rows.join(F.broadcast(found.df) if few else found.df, F.col("__row") == F.col("__of"), how)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -277,30 +354,25 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: i
     `spans` are the merged ranges of words (first, after) inside occurrences of windows of `benchmark` (item_id, text), `items` the
     sorted ids of items with an occurring window, `n_hit` the words in spans. A window is `window` consecutive words of an item, or
     all words of a shorter one. Words are runs of 0-9, a-z and non-ASCII characters, A-Z lower-cased. Null and empty texts have no
-    words; null or empty items have no window; items with a null id mark words but are not listed. Repeated rows stay.
+    words; null or empty items have no window; items with a null id mark words but are not listed. Repeated rows stay. An empty table
+    gives no rows, and an empty benchmark finds nothing.
     """
     spark = docs.sparkSession
     ship(spark)
-    mine = ("n_words", "n_hit", "items", "spans")
-    base = docs.drop(*mine).withColumn("text", F.col("text").cast("string"))
-    fields = T.StructType([*base.schema.fields, *_found_type().fields])
-    out = base
-    for patterns in _blocks(benchmark, window, block_bytes):
-        held = spark.sparkContext.broadcast(patterns)
-
-        def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch, texts in _shards(it):
-                found = hits(texts, held.value)
-                names = batch.schema.names
-                if "spans" in names:  # what earlier blocks found
-                    old = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
-                    found = [(n, merged(spans + [(x["first"], x["after"]) for x in s]), items | set(i)) for (n, spans, items), (s, i) in zip(found, old)]
-                keep = [i for i, name in enumerate(names) if name not in mine]
-                cols = [pa.array([n for n, _, _ in found], pa.int64()), pa.array([sum(b - a for a, b in s) for _, s, _ in found], pa.int64()), pa.array([sorted(i) for _, _, i in found], pa.list_(pa.string())), pa.array([[{"first": a, "after": b} for a, b in s] for _, s, _ in found], _SPANS)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *cols], names=[*(names[i] for i in keep), *mine])
-
-        out = out.mapInArrow(run, fields)
-    return out
+    base = docs.drop(*_FOUND).withColumn("text", F.col("text").cast("string"))
+    if _block_count(benchmark, block_bytes) == 1:
+        return _searched(base, spark.sparkContext.broadcast(next(_blocks(benchmark, window, block_bytes))))
+    rows = Saved(base.withColumn("__row", F.monotonically_increasing_id()), "rows").df
+    found = _hits_by_row(rows, benchmark, window, block_bytes)
+    joined = _joined(rows, found, "left").drop("__of", "__row")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            n = [len(words(t)) for t in binary_list(batch.column("text"))]
+            spans = [merged([(x["first"], x["after"]) for x in s or []]) for s in batch.column("many_spans").to_pylist()]
+            yield _with_found(batch.drop_columns(["many_spans", "many_items"]), list(zip(n, spans, [set(i or []) for i in batch.column("many_items").to_pylist()])))
+
+    return joined.mapInArrow(run, T.StructType([*base.schema.fields, *_found_type().fields]))
 
 
 def _found_type() -> T.StructType:
@@ -325,57 +397,65 @@ def _cut(texts: list[bytes | None], patterns: Patterns) -> tuple[list[bytes | No
     return out, changed
 
 
+def _with_texts(batch: pa.RecordBatch, new: list[bytes | None], changed: list[bool]) -> pa.RecordBatch:
+    """A batch with other texts and its __cut raised where they changed, without the rows of which no word is left."""
+    flags = pa.array([a or b for a, b in zip(batch.column("__cut").to_pylist(), changed)], pa.bool_())
+    keep = [not c or bool(_WORD.search(t)) for t, c in zip(new, changed)]
+    batch = batch.set_column(batch.schema.names.index("text"), "text", pa.array(new, pa.binary()).cast(pa.string()))
+    return batch.set_column(batch.schema.names.index("__cut"), "__cut", flags).filter(pa.array(keep, pa.bool_()))
+
+
+def _cut_by_blocks(rows: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """Rows (__row, text, __cut, ...) less what any block finds. A cut may complete a window of another block, so rows that were cut are searched
+    again, and only these, until nothing is found."""
+
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            spans = [merged([(x["first"], x["after"]) for x in s]) for s in batch.column("many_spans").to_pylist()]
+            new = [without(t, s) for t, s in zip(binary_list(batch.column("text")), spans)]
+            yield _with_texts(batch.drop_columns(["many_spans"]), new, [True] * len(new))
+
+    done: list[DataFrame] = []
+    left = Saved(rows, "rows")
+    while True:
+        found = _hits_by_row(left.df, benchmark, window, block_bytes)
+        if not found.df.limit(1).count():
+            break
+        done.append(Saved(_joined(left.df, found, "left_anti"), "clean").df)
+        changed = _joined(left.df, found, "inner").drop("__of", "many_items")
+        again = Saved(changed.mapInArrow(cut, rows.schema), "cut")
+        left.drop()
+        found.drop()
+        left = again
+    out = left.df
+    for df in done:
+        out = out.unionByName(df)
+    return out
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`docs` with all occurrences of windows cut from the texts; see `find` for what a window is.
 
-    Texts without an occurrence keep every byte, and their rows every value. Of a text that was cut, n_chars, if there is such a
-    column, becomes the new length, and the row goes if no word is left. All columns of `docs` are returned.
+    Texts without an occurrence, null and empty ones among them, keep every byte, and their rows every value. Of a text that was cut,
+    n_chars, if there is such a column, becomes the new length, and the row goes if no word is left. All columns of `docs` are returned.
+    Repeated rows, and rows without doc_id, are each cut for themselves. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
     kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
-    schema = T.StructType([*docs.schema.fields, T.StructField("__cut", T.BooleanType())])
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, window, block_bytes)]
-    flagged = docs.withColumn("__cut", F.lit(False))
+    flagged = docs.withColumn("text", F.col("text").cast("string")).withColumn("__cut", F.lit(False))
+    if _block_count(benchmark, block_bytes) == 1:
+        held = spark.sparkContext.broadcast(next(_blocks(benchmark, window, block_bytes)))
 
-    def one(held):
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in _shards(it):
+            for batches, texts in _shards(it):
                 new, changed = _cut(texts, held.value)
-                keep = [not c or bool(_WORD.search(t)) for t, c in zip(new, changed)]
-                flags = pa.array([a or b for a, b in zip(batch.column("__cut").to_pylist(), changed)], pa.bool_())
-                batch = batch.set_column(batch.schema.names.index("text"), "text", pa.array(new, pa.binary()).cast(pa.string()))
-                yield batch.set_column(batch.schema.names.index("__cut"), "__cut", flags).filter(pa.array(keep, pa.bool_()))
-
-        return run
+                for batch, part in _by_batch(batches, list(zip(new, changed))):
+                    yield _with_texts(batch, [t for t, _ in part], [c for _, c in part])
 
-    out = flagged
-    # A cut for one block may complete a window of a block before it, so several blocks go round until none of them cuts.
-    while True:
-        for held in blocks:
-            out = out.mapInArrow(one(held), schema)
-        if len(blocks) == 1:
-            break
-        left = Saved(out, "cut").df
-        again = left
-        for held in blocks:
-            again = find_any(again, held)
-        if not again.where("__again").take(1):
-            out = left
-            break
-        out = left
+        out = flagged.mapInArrow(run, flagged.schema)
+    else:
+        out = _cut_by_blocks(flagged.withColumn("__row", F.monotonically_increasing_id()), benchmark, window, block_bytes)
     if kind is not None:
         out = out.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
-
-
-def find_any(docs: DataFrame, held) -> DataFrame:
-    """`docs` with __again: whether some window of a block occurs, or did for a block before it."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _shards(it):
-            old = batch.column("__again").to_pylist() if "__again" in batch.schema.names else repeat(False)
-            yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array([bool(s) or o for (_, s, _), o in zip(hits(texts, held.value), old)], pa.bool_())], names=["text", "__again"])
-
-    columns = ["text", "__again"] if "__again" in docs.columns else ["text"]
-    return docs.select(*columns).mapInArrow(run, "text string, __again boolean")
