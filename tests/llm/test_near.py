@@ -128,11 +128,12 @@ def linked(rows, threshold):
     return links
 
 
-def test_embeddings_equal_brute_force(spark):
+@pytest.mark.parametrize(("tile", "sheet_bytes"), [(16, 1), (16, 4000), (1024, 4 << 20)])
+def test_embeddings_equal_brute_force(spark, tile, sheet_bytes):
     rows = vectors()
     odd = [(9000, None, 1), (9001, [0.0] * 16, 1), (9002, [float("nan")] + [1.0] * 15, 1), (9003, rows[0][1], None), (None, rows[0][1], 0), (9004, [], 1), (9005, [None] + [1.0] * 15, 1), (9006, [float("inf")] * 16, 1), (9007, [1.0, 2.0], 1)]
     df = spark.createDataFrame([(*r, "clash", "clash") for r in rows + odd], "vec_id long, embedding array<float>, label int, n_links string, tile string")
-    got = {r.vec_id: r for r in E.near_vectors(df, 0.93, tile=16).collect()}
+    got = {r.vec_id: r for r in E.near_vectors(df, 0.93, tile=tile, sheet_bytes=sheet_bytes).collect()}
     links = linked(rows, 0.93)
     want = joined(range(len(rows)), links)
     degree = np.bincount(np.array(links).ravel(), minlength=len(rows))

@@ -2,12 +2,14 @@
 
 Equal vectors of a label become one, with its number. The principal axes come from a bounded sample; turning vectors onto them changes
 no cosine, so the sample only decides how soon comparisons stop. Within a label, vectors are sorted along the first axis and cut into
-tiles. Two tiles are compared unless their ranges along the leading axes lie further apart than linked vectors can. Within a pair of tiles the
-products of the leading dimensions are summed first; a pair of vectors goes on to the next dimensions only while its sum and the
+sheets, which are sent whole, and these into tiles. Sheets are paired by a range join along the first axis, and two sheets, or two tiles
+of theirs, are compared unless their ranges along the leading axes lie further apart than linked vectors can. Within a pair of tiles
+the products of the leading dimensions are summed first; a pair of vectors goes on to the next dimensions only while its sum and the
 product of the norms of what is left can reach the threshold. Pairs that stay are confirmed on the vectors as given.
 
-A pair of tiles returns a row per linked vector: how many vectors it links to, and one link that keeps its component together. So a crowd of
-near copies gives rows in proportion to its tiles, not to its pairs.
+A pair of sheets returns a row per linked vector: how many vectors it links to, and one link that keeps its component together. So a crowd of
+near copies gives rows in proportion to its sheets, not to its pairs. Where all vectors of a label lie near each other, its sheets meet each
+other, so the work is quadratic there, as the method is.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .common import Saved, small_batches
 from .components import components
 
 TILE, SAMPLE, AXES = 1024, 20_000, 8
+#: Bytes of a sheet, which has a tile at least.
+SHEET_BYTES = 4 << 20
 STEPS = (8, 24)  # dimensions after which products are weighed
 ROUNDING = 1e-9
 
@@ -40,8 +44,8 @@ def _axes(vectors: DataFrame, dim: int, sample: int) -> np.ndarray:
 _TILE = "label long, dim int, tile long, n int, lo array<double>, hi array<double>, ids binary, times binary, data binary"
 
 
-def _tiles(vectors: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFrame:
-    """Rows come sorted by label, length and first component within partitions."""
+def _sheets(vectors: DataFrame, axes: dict[int, np.ndarray], tile: int, sheet_bytes: int) -> DataFrame:
+    """Rows come sorted by label, length and first component within partitions. Vectors of very many components make small sheets."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -56,7 +60,7 @@ def _tiles(vectors: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFr
 
         for batch in it:
             for row in zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "rep", "times", "x"))):
-                if held and (row[:2] != held[0][:2] or len(held) == tile):
+                if held and (row[:2] != held[0][:2] or len(held) >= max(min(tile, max(1, sheet_bytes // (8 * row[1]))), sheet_bytes // (8 * row[1]) // tile * tile)):
                     yield out()
                     held = []
                 held.append(row)
@@ -92,8 +96,27 @@ def linked(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float) ->
     return i[sure], j[sure]
 
 
-def _compared(pairs: DataFrame, axes: dict[int, np.ndarray], threshold: float) -> DataFrame:
-    """(node, links, other): for each vector of a pair of tiles that has a link there, how many vectors it links to, and a link."""
+def _boxes(x: np.ndarray, axes: np.ndarray, tile: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, least, greatest) of each tile along the leading axes."""
+    y = x / np.linalg.norm(x, axis=1, keepdims=True) @ axes[:, :AXES]
+    return [(at, min(at + tile, len(x)), y[at : at + tile].min(axis=0), y[at : at + tile].max(axis=0)) for at in range(0, len(x), tile)]
+
+
+def _linked_sheets(a: np.ndarray, b: np.ndarray, same: bool, axes: np.ndarray, threshold: float, tile: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two sheets whose cosine is at least the threshold, tile by tile; of a sheet with itself, each pair once."""
+    reach, out = 2 - 2 * threshold + ROUNDING, [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i0, i1, low_i, high_i in _boxes(a, axes, tile):
+        for j0, j1, low_j, high_j in _boxes(b, axes, tile):
+            if (same and j0 < i0) or (np.maximum(0, np.maximum(low_i - high_j, low_j - high_i)) ** 2).sum() > reach:
+                continue
+            i, j = linked(a[i0:i1], b[j0:j1], axes, threshold)
+            i, j = i + i0, j + j0
+            out.append((i[i < j], j[i < j]) if same else (i, j))
+    return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+
+def _compared(pairs: DataFrame, axes: dict[int, np.ndarray], threshold: float, tile: int) -> DataFrame:
+    """(node, links, other): for each vector of a pair of sheets that has a link there, how many vectors it links to, and a link."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -102,18 +125,16 @@ def _compared(pairs: DataFrame, axes: dict[int, np.ndarray], threshold: float) -
                 dim, same = batch.column("dim")[r].as_py(), batch.column("a")[r] == batch.column("b")[r]
                 ia, ta, ib, tb = get("ids_a", np.int64), get("times_a", np.int64), get("ids_b", np.int64), get("times_b", np.int64)
                 a, b = get("data_a", np.float64).reshape(-1, dim), get("data_b", np.float64).reshape(-1, dim)
-                i, j = linked(a, b, axes[dim], threshold)
-                if same:
-                    i, j = i[i < j], j[i < j]
+                i, j = _linked_sheets(a, b, same, axes[dim], threshold, tile)
                 if not len(i):
                     continue
-                # Vectors of both tiles are numbered together; a tile paired with itself counts once.
+                # Vectors of both sheets are numbered together; a sheet paired with itself counts once.
                 j = j if same else j + len(ia)
                 ids = ia if same else np.concatenate([ia, ib])
                 times = ta if same else np.concatenate([ta, tb])
                 links = np.bincount(i, times[j], len(ids)) + np.bincount(j, times[i], len(ids))
                 least = np.arange(len(ids))
-                while True:  # least vector of the component within this pair of tiles
+                while True:  # least vector of the component within this pair of sheets
                     low = least.copy()
                     np.minimum.at(low, i, least[j])
                     np.minimum.at(low, j, least[i])
@@ -127,47 +148,56 @@ def _compared(pairs: DataFrame, axes: dict[int, np.ndarray], threshold: float) -
     return pairs.mapInArrow(run, "node long, links long, other long")
 
 
-def near_vectors(table: DataFrame, threshold: float = 0.93, tile: int = TILE, sample: int = SAMPLE) -> DataFrame:
+def near_vectors(table: DataFrame, threshold: float = 0.93, tile: int = TILE, sample: int = SAMPLE, sheet_bytes: int = SHEET_BYTES) -> DataFrame:
     """Every row of `table` (vec_id, embedding, label) with its links and component.
 
     Vectors of the same label, and length, are linked at a cosine of `threshold` or more, in double precision. Returns vec_id, n_links (other
     rows linked directly), component_id (smallest vec_id reachable, its own included) and kept (vec_id = component_id).
     A vector that is null, empty or zero, or holds a null, NaN or infinity, or whose label or vec_id is null, links with nothing; its
-    component is its own vec_id, and a null vec_id is not kept. Repeated rows are vectors that link. Other columns are ignored.
+    component is its own vec_id, and a null vec_id is not kept. Repeated rows are vectors that link, one vec_id with several vectors among
+    them: it is then one node. Other columns are ignored; an empty table gives no rows.
     """
     spark = table.sparkSession
     ship(spark)
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("x"))
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite & F.exists("x", lambda v: v != 0), F.lit(False))
-    usable = rows.where(good)
-    reps = Saved(usable.groupBy("label", "x").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times")).select("label", F.size("x").alias("dim"), "rep", "times", "x"), "vectors")
+    rows = rows.withColumn("good", good).withColumn("h", F.struct(F.xxhash64(F.lit(1), "x"), F.xxhash64(F.lit(2), "x")))  # 128 bits stand for a vector
+    usable = rows.where("good")
+    reps = Saved(usable.groupBy("label", "h").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times"), F.first("x").alias("x")).select("label", F.size("x").alias("dim"), "rep", "times", "h", "x"), "vectors")
     dims = [r["dim"] for r in reps.df.select("dim").distinct().collect()]
     axes = {d: _axes(reps.df, d, sample) for d in dims}
     first = F.coalesce(*[F.when(F.col("dim") == d, F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in axes[d][:, 0]]), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)) for d in dims], F.lit(0.0))
     length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    n = max(1, -(-reps.df.count() // (8 * tile)))
-    sorted_ = reps.df.withColumn("y", first / length).repartitionByRange(n, "label", "dim", "y", "rep").sortWithinPartitions("label", "dim", "y", "rep").drop("y")
-    tiles = Saved(_tiles(sorted_, axes, tile), "tiles")
+    size = reps.df.agg(F.sum(F.col("dim").cast("long")).alias("s")).first()["s"] or 0
+    n = max(1, -(-8 * size // (16 * sheet_bytes)))
+    sorted_ = reps.df.select("label", "dim", "rep", "times", "x", (first / length).alias("y")).repartitionByRange(n, "label", "dim", "y", "rep").sortWithinPartitions("label", "dim", "y", "rep").drop("y")
+    sheets = Saved(_sheets(sorted_, axes, tile, sheet_bytes), "sheets")
     reach = 2 - 2 * threshold + ROUNDING
-    about = tiles.df.select("label", "dim", "tile", "lo", "hi")
-    a, b = about.alias("a"), about.alias("b")
+    # Along the first axis linked vectors lie within sqrt(reach). A sheet meets those that begin in its range or so much above it, so each
+    # pair comes once, from the sheet that begins first.
+    cell = lambda v: F.floor(v / reach**0.5)
+    about = sheets.df.select("label", "dim", "tile", "lo", "hi")
+    a = about.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")[0]), cell(F.col("hi")[0]) + 1))).alias("a")
+    b = about.withColumn("cell", cell(F.col("lo")[0])).alias("b")
     gap = F.aggregate(
         F.zip_with(F.arrays_zip("a.lo", "a.hi"), F.arrays_zip("b.lo", "b.hi"), lambda p, q: F.greatest(F.lit(0.0), p["lo"] - q["hi"], q["lo"] - p["hi"])),
         F.lit(0.0), lambda s, v: s + v * v,
     )
-    wanted = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.tile") <= F.col("b.tile")) & (gap <= reach)).select(F.col("a.tile").alias("a"), F.col("b.tile").alias("b"), F.col("a.dim").alias("dim"), F.col("a.label").alias("label"))
+    after = (F.col("a.lo")[0] < F.col("b.lo")[0]) | ((F.col("a.lo")[0] == F.col("b.lo")[0]) & (F.col("a.tile") <= F.col("b.tile")))
+    wanted = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.cell") == F.col("b.cell")) & after & (gap <= reach)).select(F.col("a.tile").alias("a"), F.col("b.tile").alias("b"), F.col("a.dim").alias("dim"), F.col("a.label").alias("label"))
     wanted = Saved(wanted, "pairs")
-    side = lambda s: tiles.df.select(F.col("label"), F.col("dim"), F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("times").alias(f"times_{s}"), F.col("data").alias(f"data_{s}"))
+    side = lambda s: sheets.df.select(F.col("label"), F.col("dim"), F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("times").alias(f"times_{s}"), F.col("data").alias(f"data_{s}"))
     joined = wanted.df.join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"])
-    joined = joined.repartition(max(1, wanted.df.count() // 4))
     with small_batches(spark, 2):
-        found = Saved(_compared(joined, axes, threshold), "links")
+        found = Saved(_compared(joined, axes, threshold, tile), "links")
     groups = components(found.df.select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = found.df.groupBy("node").agg(F.sum("links").alias("links"))
-    named = reps.df.select("label", "x", "rep", "times").join(counts.withColumnRenamed("node", "rep"), "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select(F.col("label").alias("l"), F.col("x").alias("v"), (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("c"))
+    named = reps.df.select("label", "h", "rep", "times").join(counts.withColumnRenamed("node", "rep"), "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select(F.col("label").alias("l"), F.col("h").alias("v"), (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("c"))
     named = Saved(named, "named").df
-    out = rows.withColumn("good", good).join(named, F.col("good") & (F.col("label") == F.col("l")) & (F.col("x") == F.col("v")), "left")
+    for table in (sheets, wanted, found):
+        table.drop()
+    out = rows.select("vec_id", "label", "good", "h").join(named, F.col("good") & (F.col("label") == F.col("l")) & (F.col("h") == F.col("v")), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
