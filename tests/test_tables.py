@@ -279,3 +279,182 @@ def test_streams_merge_each_batch(spark, lake, tmp_path):
     q = into_table(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), t, ["id"], str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert got(t.read()) == rows(4)
+
+
+class SlowStore:
+    """A store where a name can be seen before its content, as one that creates, writes and closes shows it."""
+
+    def __init__(self, files):
+        self.files, self.hidden = files, {}
+
+    def __getattr__(self, name):
+        return getattr(self.files, name)
+
+    def read(self, name):
+        text = self.hidden.get(name, [])
+        return text.pop(0) if text else self.files.read(name)
+
+
+def test_a_loser_never_takes_a_commit_that_is_half_there_for_an_empty_one(spark, lake, monkeypatch):
+    t = lake.table("t")
+    t.append(frame(spark, rows(5)))
+    loser = t.begin(frame(spark, rows(1)).schema, "merge", ["id"])
+    loser.write(frame(spark, [(1, "w", 1.0)]))
+    t.append(frame(spark, rows(2, 20)))
+    name = f"_delta_log/{2:020d}.json"
+    loser.files = SlowStore(loser.files)
+    loser.files.hidden[name] = ["", '{"add":{"path":"x'] + [""] * 2
+    assert code(loser.commit) == errors.CONFLICT
+    # A commit that stays empty is a transient error for whoever needs to know what it holds.
+    loser = t.begin(frame(spark, rows(1)).schema, "merge", ["id"])
+    loser.write(frame(spark, [(1, "w", 1.0)]))
+    (Path(lake.root) / "t" / "_delta_log" / f"{3:020d}.json").write_text("")
+    with pytest.raises(LakeError) as e:
+        loser.commit()
+    assert e.value.code == errors.CONFLICT and e.value.transient and "not complete" in str(e.value)
+
+
+def test_a_crashed_claim_does_not_block_the_table(spark, tmp_path, monkeypatch):
+    files = HadoopFiles(spark, f"file://{tmp_path}")
+
+    def crash(old, new):
+        raise OSError("the writer is gone")
+
+    monkeypatch.setattr(files, "_rename_if_free", crash)
+    with pytest.raises(OSError):
+        files.claim("_delta_log/0.json", "{}\n")
+    assert "0.json" not in files.names("_delta_log")
+    assert HadoopFiles(spark, f"file://{tmp_path}").claim("_delta_log/0.json", "{}\n") and not HadoopFiles(spark, f"file://{tmp_path}").claim("_delta_log/0.json", "[]\n")
+    assert files.read("_delta_log/0.json") == "{}\n"
+
+
+def property_table(spark, lake, name, **properties):
+    t = lake.table(name)
+    t.append(frame(spark, rows(3)))
+    at = Path(lake.root) / name / "_delta_log" / f"{0:020d}.json"
+    actions = [json.loads(x) for x in at.read_text().splitlines()]
+    for a in actions:
+        if "metaData" in a:
+            a["metaData"]["configuration"] = {k: v for k, v in properties.items() if k.startswith("delta")}
+        if "protocol" in a and "protocol" in properties:
+            a["protocol"] = properties["protocol"]
+    at.write_text("\n".join(map(json.dumps, actions)) + "\n")
+    return t
+
+
+def test_writes_keep_what_a_table_asks_of_its_writers(spark, lake):
+    t = property_table(spark, lake, "only", **{"delta.appendOnly": "true"})
+    t.append(frame(spark, rows(1, 9)))
+    assert code(t.replace, frame(spark, rows(1))) == errors.WRITE_FAILED and code(t.merge, frame(spark, rows(1)), ["id"]) == errors.WRITE_FAILED
+    t.merge(frame(spark, rows(1, 50)), ["id"])  # nothing matches, so nothing is removed
+    assert t.count() == 5 and not list((Path(lake.root) / "only" / "_staging").glob("*"))
+    t = property_table(spark, lake, "bound", **{"delta.constraints.small": "id < 100"})
+    assert code(t.append, frame(spark, rows(1))) == errors.WRITE_FAILED and t.count() == 3
+    for i, protocol in enumerate([{"minReaderVersion": 1, "minWriterVersion": 6}, {"minReaderVersion": 1, "minWriterVersion": 7, "writerFeatures": ["rowTracking"]}, {"minReaderVersion": 1, "minWriterVersion": 8}]):
+        t = property_table(spark, lake, f"p{i}", protocol=protocol)
+        assert t.count() == 3 and code(t.append, frame(spark, rows(1))) == errors.WRITE_FAILED
+    t = property_table(spark, lake, "fine", protocol={"minReaderVersion": 1, "minWriterVersion": 7, "writerFeatures": ["appendOnly", "invariants"]})
+    t.append(frame(spark, rows(1)))
+    assert t.count() == 4
+
+
+@pytest.mark.parametrize("kind", ["parts", "uuid", "json", "sidecar"])
+def test_checkpoints_of_other_shapes(spark, lake, kind):
+    t = lake.table("t")
+    t.append(frame(spark, rows(4)), options={"partition_by": "dt"})
+    t.append(frame(spark, rows(4, 4)))
+    log, name = Path(lake.root) / "t" / "_delta_log", f"{2:020d}.checkpoint"
+    actions = [json.dumps(a) for v in (0, 1, 2) for a in logged(lake, "t", v) if "commitInfo" not in a]
+    adds, rest = [a for a in actions if '"add"' in a], [a for a in actions if '"add"' not in a]
+    uid = "80a083e8-7026-4e79-81be-64bd76c43a11"
+
+    def parquet(lines, to):
+        schema = "protocol struct<minReaderVersion:int,minWriterVersion:int>, metaData struct<id:string,schemaString:string,partitionColumns:array<string>,configuration:map<string,string>>, add struct<path:string,partitionValues:map<string,string>,size:long,modificationTime:long,dataChange:boolean,stats:string>, sidecar struct<path:string,sizeInBytes:long>"
+        spark.read.schema(schema).json(spark.sparkContext.parallelize(lines)).coalesce(1).write.parquet(str(log / "cp"), mode="overwrite")
+        to.parent.mkdir(exist_ok=True)
+        next((log / "cp").glob("part-*.parquet")).rename(to)
+
+    if kind == "parts":
+        parquet([*rest, *adds[:3]], log / f"{name}.{1:010d}.{2:010d}.parquet")
+        parquet(adds[3:], log / f"{name}.{2:010d}.{2:010d}.parquet")
+        (log / f"{3:020d}.checkpoint.{1:010d}.{2:010d}.parquet").write_text("a part whose other part is missing")
+    elif kind == "uuid":
+        parquet(actions, log / f"{name}.{uid}.parquet")
+    elif kind == "json":
+        (log / f"{name}.{uid}.json").write_text("\n".join(actions))
+    else:
+        parquet(adds, log / "_sidecars" / f"{uid}.parquet")
+        (log / f"{name}.{uid}.json").write_text("\n".join([*rest, json.dumps({"sidecar": {"path": f"{uid}.parquet", "sizeInBytes": 1}})]))
+    for v in (0, 1, 2):
+        (log / f"{v:020d}.json").unlink()
+    assert got(t.read()) == sorted(rows(8)) and t.snapshot().version == 2
+    with pytest.raises(LakeError, match="its log begins at version 2"):
+        t.read(1)
+    if kind == "parts":
+        (log / f"{3:020d}.checkpoint.{1:010d}.{2:010d}.parquet").unlink()
+    t.append(frame(spark, rows(1, 8)))
+    assert t.count() == 9 and t.snapshot().version == 3
+
+
+def test_merges_tell_their_partition_filter(spark, lake):
+    t = lake.table("t")
+    t.append(frame(spark, rows(16)), options={"partition_by": "dt"})
+    result = t.merge(frame(spark, [(1, "2026-01-02", 5.0), (9, "2026-01-02", 6.0)]), ["id", "dt"])
+    assert result.partition_filter == {"dt": ["'2026-01-02'"]} and result.filter_skipped is None
+    info = next(a["commitInfo"] for a in logged(lake, "t", 2) if "commitInfo" in a)
+    assert 'target."dt" IN (\'2026-01-02\')' in info["operationParameters"]["statement"]
+    result = t.merge(frame(spark, [(1, "2026-01-02", 7.0)]), ["id"])
+    assert result.partition_filter is None and "not merge keys" in result.filter_skipped
+    assert "not merge keys" in next(a["commitInfo"] for a in logged(lake, "t", 3) if "commitInfo" in a)["operationParameters"]["partitionFilterSkipped"]
+
+
+@pytest.mark.parametrize("local_bytes", [8 << 20, -1])
+def test_merges_of_small_and_large_inputs_agree(spark, lake, monkeypatch, local_bytes):
+    from tidelake.operators import session
+
+    monkeypatch.setattr(session, "LOCAL_BYTES", local_bytes)
+    schema = "id long, dt string, at timestamp, ntz timestamp_ntz, d date, x decimal(20,4), raw binary, s struct<a:int,b:array<string>>"
+    make = lambda ids, add: spark.range(0, 40).where(f"id in ({','.join(map(str, ids))})").selectExpr("id", "concat('p', id % 3) dt", f"timestamp_seconds(id * 1000 + {add}) at", f"cast(timestamp_seconds(id + {add}) as timestamp_ntz) ntz", f"date_add(date '2024-01-01', cast(id + {add} as int)) d", f"cast(id + {add} as decimal(20,4)) x", "cast(string(id) as binary) raw", f"named_struct('a', cast(id + {add} as int), 'b', array('x', null)) s")
+    t = lake.table("t")
+    t.append(make(range(30), 0), options={"partition_by": "dt"})
+    t.merge([make([1, 2, 35], 5), make([2], 9)], ["id", "dt"])
+    want = make([i for i in range(30) if i not in (1, 2)], 0).unionByName(make([1, 35], 5)).unionByName(make([2], 9))
+    assert sorted(map(str, t.read().collect())) == sorted(map(str, want.collect())) and t.schema().names == [c.split()[0] for c in schema.split(", ")]
+
+
+def test_marks_stand_for_what_was_written_and_only_rise(spark, tmp_path):
+    from tidelake.streaming.watermark import Seen, WatermarkStore
+
+    store = WatermarkStore(spark, str(tmp_path))
+    write = lambda seen: seen.df.write.format("noop").mode("overwrite").save()
+    live = spark.range(10).withColumn("at", F.expr("id + 90"))
+    seen = Seen(live, "at")
+    write(seen)
+    assert store.advance("m", seen) == "99" == store.get("m")
+    for top, want in ((5, "99"), (100, "100"), (-1, "100")):  # an older run, a newer one, an empty one
+        seen = Seen(spark.range(top + 1).withColumnRenamed("id", "at"), "at")
+        write(seen)
+        assert store.advance("m", seen) == want
+    seen = Seen(frame(spark, rows(3)), "dt")
+    write(seen)
+    assert store.advance("d", seen) == "2026-01-03"
+
+
+def test_object_store_locations_open_under_hadoops_schemes(spark, tmp_path):
+    """Through a file system that answers to s3a and keeps its files on this disk."""
+    conf = spark._jsc.hadoopConfiguration()
+    (tmp_path / "bucket").mkdir()
+    conf.set("fs.s3a.impl", "org.apache.hadoop.fs.viewfs.ViewFileSystemOverloadScheme")
+    conf.set("fs.viewfs.overload.scheme.target.s3a.impl", "org.apache.hadoop.fs.LocalFileSystem")
+    conf.set("fs.viewfs.mounttable.tide.link./lake", f"file://{tmp_path}/bucket")
+    lake = Lake(spark, "s3://tide/lake", access_key_id="a", secret_access_key="b")
+    t = lake.table("orders")
+    assert t.root == "s3a://tide/lake/orders"
+    t.append(frame(spark, rows(8)), options={"partition_by": "dt"})
+    t.merge(frame(spark, [(2, "2026-01-03", 9.0)]), ["id", "dt"])
+    assert t.snapshot().num_records() == 8 and (2, "2026-01-03", 9.0) in got(t.read()) and (tmp_path / "bucket" / "orders" / "_delta_log").is_dir()
+    s = [t.begin(frame(spark, rows(1)).schema, "merge", ["id"]) for _ in range(2)]
+    for i, x in enumerate(s):
+        x.write(frame(spark, [(1, "w", float(i))]))
+    s[0].commit()
+    assert code(s[1].commit) == errors.CONFLICT

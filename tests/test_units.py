@@ -167,3 +167,24 @@ def test_folder_names():
     assert unescape("a%2Fb") == "a/b" and unescape("100%") == "100%"
     assert folder_says({"path": "dt=a%252Fb/part.parquet", "partitionValues": {"dt": "a/b"}}, ["dt"])
     assert not folder_says({"path": "part.parquet", "partitionValues": {"dt": "a"}}, ["dt"])
+
+
+def test_locations_in_hadoops_schemes():
+    from tidelake.sources.storage import hadoop_uri
+
+    az = {"account_name": "acct"}
+    for place, options, want in (
+        ("/mnt/x", {}, "/mnt/x"), ("file:///mnt/x", {}, "file:///mnt/x"), ("s3://b/x/y", {}, "s3a://b/x/y"), ("S3A://b/x", {}, "s3a://b/x"), ("az://c/x", az, "abfss://c@acct.dfs.core.windows.net/x"), ("adl://c/x/", az, "abfss://c@acct.dfs.core.windows.net/x/"),
+        ("abfss://c@other.dfs.core.windows.net/x", az, "abfss://c@other.dfs.core.windows.net/x"), ("abfs://c/x", az, "abfs://c@acct.dfs.core.windows.net/x"), ("az://c", {"connection_string": "AccountName=q;AccountKey=k="}, "abfss://c@q.dfs.core.windows.net"),
+        ("az://c/x", {"connection_string": "AccountName=q;AccountKey=k;BlobEndpoint=http://127.0.0.1:9/q"}, "abfs://c@127.0.0.1:9/x"),
+    ):
+        assert hadoop_uri(place, options) == want
+    assert code(hadoop_uri, "az://c/x", {}) == errors.OPTION_MISMATCH
+
+
+def test_read_options_are_checked_when_a_table_is_named_or_read(spark, tmp_path):
+    from tidelake.catalog import Lake
+
+    lake = Lake(spark, str(tmp_path))
+    assert code(lake.table, "t", "a/{yyyy-MM-dd}") == errors.READ_FAILED
+    assert code(lake.table("t").read, union_by_name=1) == errors.READ_FAILED

@@ -14,14 +14,17 @@ from .plans.windows import Window
 from .sources import connection, location, storage
 from .sources.snapshot import Predicate, Snapshot
 
-#: What the layer can do.
-CAPABILITIES = ["scan", "column pruning", "predicate pushdown", "bounded window", "inclusive bound", "merge", "replace", "transactions", "column partitions", "write statistics"]
+
+def _refuse(problems: list[str]) -> None:
+    """One error for all problems that an offline check has found."""
+    if problems:
+        raise errors.LakeError(problems[0][:8], "; ".join(p.partition(": ")[2].partition(". Next step: ")[0] for p in problems), problems[0].partition(". Next step: ")[2])
 
 
 class LakeTable:
     def __init__(self, lake: Lake, name: str, path: str | None = None):
         self.lake, self.name = lake, name
-        self.root = location.resolve(lake.root, name, path)
+        self.root = lake.place(name, path)
 
     def snapshot(self, version: object = None) -> Snapshot:
         """The table at a version, the latest by default."""
@@ -36,7 +39,11 @@ class LakeTable:
         return self.snapshot(version).schema
 
     def read(self, version: object = None, window: Window | None = None, where: list[Predicate] | None = None, union_by_name: bool = True) -> DataFrame:
-        """The rows of a version; `where` and `window` skip files by the log before Spark filters rows. Columns are always matched by name."""
+        """The rows of a version; `where` and `window` skip files by the log before Spark filters rows.
+
+        The log has the columns, and files are matched to them by name, so `union_by_name` changes nothing: columns that a file lacks are null.
+        """
+        _refuse(connection.check_read({"union_by_name": union_by_name}))
         return self.snapshot(version).scan(where or (), window)
 
     def view(self, name: str, version: object = None) -> DataFrame:
@@ -51,7 +58,7 @@ class LakeTable:
 
     def begin(self, schema: T.StructType, strategy: str, keys: list[str] | None = None, options: dict | None = None, schema_policy: str | None = None, order_by: list[str] | None = None, incremental: bool = False, duplicates: str | None = None, keep_concurrent: bool = False) -> WriteSession:
         spec = write_options.parse(strategy, options, keys, schema_policy, incremental, duplicates)
-        root = location.resolve(self.lake.root, self.name, spec.path) if spec.path else self.root
+        root = self.lake.place(self.name, spec.path) if spec.path else self.root
         return WriteSession(self.lake.spark, root, spec, schema, order_by, self.lake.stats, self.name, keep_concurrent)
 
     def write(self, frames: DataFrame | list[DataFrame], strategy: str, keys: list[str] | None = None, **how) -> WriteResult:
@@ -78,13 +85,19 @@ class Lake:
     """A place with credentials. Options are checked offline, all problems at once; opening a table is the test of the place."""
 
     def __init__(self, spark: SparkSession, root: str, **options):
-        if problems := connection.check_connection({"root": root, **options}):
-            raise errors.LakeError(problems[0][:8], "; ".join(p.partition(": ")[2] for p in problems), "correct the connection")
-        self.spark, self.root, self.stats = spark, root.rstrip("/") or "/", WriteStats()
+        _refuse(connection.check_connection({"root": root, **options}))
+        self.spark, self.root, self.stats, self.options = spark, root.rstrip("/") or "/", WriteStats(), {"root": root, **options}
+        storage.hadoop_uri(self.root, self.options)
         storage.apply(spark, {"root": root, **options})
         ship(spark)
 
+    def place(self, name: str, path: str | None = None) -> str:
+        """Where a table lies, in the scheme under which Hadoop opens it."""
+        return storage.hadoop_uri(location.resolve(self.root, name, path), self.options)
+
     def table(self, name: str, path: str | None = None) -> LakeTable:
+        if path is not None:
+            _refuse(connection.check_read({"path": path}))
         return LakeTable(self, name, path)
 
     def check(self) -> bool:

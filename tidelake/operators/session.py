@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import errors
+from ..functions.predicate import merge_text
 from ..plans import guards
 from ..plans.options import WriteSpec
 from ..plans.reconcile import check_incoming, reconcile
@@ -26,6 +27,16 @@ class WriteResult:
     rows: int  # handed over, before repeats were resolved
     frames: int
     version: int | None
+    partition_filter: dict[str, list[str]] | None = None  # of a merge: the values that its files were narrowed to
+    filter_skipped: str | None = None  # or why they were not
+
+
+#: Estimated bytes up to which a merge's input is held by the driver, and rows of it.
+LOCAL_BYTES, LOCAL_ROWS = 8 << 20, 50_000
+
+
+def _estimated(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 class WriteSession:
@@ -42,6 +53,7 @@ class WriteSession:
             self.snapshot = self._open_or_create(schema)
         except Exception as e:
             raise errors.translate(e, "write", f"open of {name}") from e
+        log.check_write(self.snapshot.state, removes=spec.strategy == "replace")
         self.schema = reconcile(self.snapshot.schema, self.snapshot.partition_columns, schema, spec)
         self.incoming = schema
 
@@ -114,6 +126,12 @@ class WriteSession:
         return staged
 
     def _publish(self, staged: staging.Staged | None, removed: list[dict], operation: str, parameters: dict, blind: bool) -> int:
+        try:
+            log.check_write(self.snapshot.state, bool(removed))
+        except errors.LakeError:
+            if staged:
+                self.files.delete(staged.folder)
+            raise
         self.stats.tried()
         adds = staging.publish(staged, self.files, self.snapshot.partition_columns) if staged else []
         metrics = {"numFiles": len(adds), "numRemovedFiles": len(removed), "numOutputRows": staged.rows if staged else 0}
@@ -156,24 +174,33 @@ class WriteSession:
         joined = numbered[0]
         for more in numbered[1:]:
             joined = joined.unionByName(more)
+        rows = merging.last_rows(watch.on(joined), self.spec.keys, order).select(*[F.col(f"`{c}`") for c in self.incoming.names])
         once = f"{staging.STAGING}/{uuid.uuid4().hex}"
-        path = f"{self.root.rstrip('/')}/{once}"
+        path, local = f"{self.root.rstrip('/')}/{once}", None
         try:
-            merging.last_rows(watch.on(joined), self.spec.keys, order).write.parquet(path)
+            if _estimated(joined) <= LOCAL_BYTES:
+                local = rows.limit(LOCAL_ROWS + 1).toArrow()
+                local = local if local.num_rows <= LOCAL_ROWS else None
+            if local is None:
+                rows.write.parquet(path)
             found = watch.findings()
             guards.enforce(found)
-            rows = found.rows
-            if not rows and not self._metadata():
+            if not found.rows and not self._metadata():
                 return WriteResult(0, len(self.frames), None)
-            last = self.spark.read.schema(self.incoming).parquet(path).select(*[F.col(f"`{c}`") for c in self.incoming.names])
-            plan = merging.MergePlan(self.snapshot, self.schema, self.spec, last)
+            last = self.spark.read.schema(self.incoming).parquet(path) if local is None else self.spark.createDataFrame(local, self.incoming)
+            plan = merging.MergePlan(self.snapshot, self.schema, self.spec, last, local)
             candidates = plan.candidates()
             touched = plan.touched(candidates)
             staged = self._staged(plan.result(candidates, touched))
             if not touched and not staged.entries and not self._metadata():
                 self.files.delete(staged.folder)
-                return WriteResult(rows, len(self.frames), None)
-            version = self._publish(staged, touched, "MERGE", {"keys": self.spec.keys}, blind=False)
-            return WriteResult(rows, len(self.frames), version)
+                return WriteResult(found.rows, len(self.frames), None)
+            derived = plan.derived()
+            parameters = {"keys": self.spec.keys, "statement": merge_text(self.incoming.names, self.spec.keys, self.spec.merge_predicate, self.schema.names, derived.filters)}
+            if derived.reason:
+                parameters["partitionFilterSkipped"] = derived.reason
+            version = self._publish(staged, touched, "MERGE", parameters, blind=False)
+            return WriteResult(found.rows, len(self.frames), version, derived.filters, derived.reason)
         finally:
-            self.files.delete(once)
+            if local is None:
+                self.files.delete(once)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,8 +40,12 @@ def render(value: object, kind: T.DataType) -> str | None:
     return None
 
 
-def derive(df: DataFrame, partitions: list[str] | None, keys: list[str]) -> Derived:
-    """IN lists for the partition columns of a merge. They are sound only if every partition column is a key."""
+def derive(df: DataFrame, partitions: list[str] | None, keys: list[str], values_of: Callable[[str], list | None] | None = None) -> Derived:
+    """IN lists for the partition columns of a merge. They are sound only if every partition column is a key.
+
+    `values_of` gives a column's values where they are known already, or None if there are more than MOST_VALUES.
+    """
+    values_of = values_of or (lambda p: distinct_values(df, p))
     if not partitions:
         return Derived()
     if outside := [p for p in partitions if p not in keys]:
@@ -53,7 +58,7 @@ def derive(df: DataFrame, partitions: list[str] | None, keys: list[str]) -> Deri
         if not isinstance(kind, (*_INTEGERS, T.DateType, T.StringType)):
             return Derived(reason=f"partition column {p} is of a type that is not written as a literal")
         try:
-            found = distinct_values(df, p)
+            found = values_of(p)
         except (ValueError, OverflowError):  # dates that Python cannot hold
             return Derived(reason=f"partition column {p} holds a value that cannot be written as a literal")
         if found is None:

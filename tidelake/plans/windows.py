@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from .. import errors
+from pyspark.sql import Column
 
 
 @dataclass(frozen=True)
@@ -44,12 +41,3 @@ def literal(value: str) -> str:
 
 def compare(column: Column, op: str, value: Column) -> Column:
     return {">": column > value, ">=": column >= value, "<=": column <= value, "<": column < value, "=": column == value}[op]
-
-
-def apply(df: DataFrame, window: Window) -> DataFrame:
-    """The rows of a window. Bounds are cast to the cursor's type; one that cannot be is an error, not an empty result."""
-    for name, op, value in window.bounds():
-        if name not in df.columns:
-            raise errors.LakeError(errors.READ_FAILED, "the cursor is not a column of the table", "name a column, in its own case")
-        df = df.where(compare(F.col(f"`{name}`"), op, F.lit(value).cast(df.schema[name].dataType)))
-    return df

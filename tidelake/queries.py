@@ -14,7 +14,7 @@ from .functions import predicate as language
 from .plans.windows import Window
 from .sources import connection, delimited, location, storage
 from .sources.files import HadoopFiles
-from .streaming.watermark import WatermarkStore
+from .streaming.watermark import Seen, WatermarkStore
 from .workspace import fresh_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,9 +124,9 @@ def watermark_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _read(spark, sf_dir, "events")
     for part in (events.where("event_id <= 400"), events.where("event_id > 400")):
         source.append(part)
-        rows = source.read(window=store.window("events", "event_id"))
-        copy.merge(rows, ["event_id"])
-        store.advance("events", rows, "event_id")
+        rows = Seen(source.read(window=store.window("events", "event_id")), "event_id")
+        copy.merge(rows.df, ["event_id"])
+        store.advance("events", rows)
     return copy.read()
 
 

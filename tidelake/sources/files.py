@@ -12,6 +12,11 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import SparkSession
 
 
+# Schemes whose stores show an object only when it is closed, and what stores say of a name that is taken.
+CONDITIONAL = ["s3a", "s3"]
+TAKEN = ["FileAlreadyExists", "PreconditionFailed", "ConditionalRequestConflict", "PathAlreadyExists"]
+
+
 @dataclass(frozen=True)
 class Entry:
     path: str  # relative to the folder that was listed, not encoded
@@ -74,11 +79,17 @@ class LocalFiles:
 
 
 class HadoopFiles:
-    """A commit is claimed by creating a file without overwriting, which the store must make exclusive."""
+    """A commit appears whole under its name, or not at all, and only if the name is free.
+
+    On file systems with an atomic rename it is written as a draft and renamed to a name that must not exist. Object stores that show an
+    object when its stream is closed, and only if no other has come first, get it by a conditional create.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.jvm, self.root = spark._jvm, root.rstrip("/")
-        self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self.conf = spark._jsc.hadoopConfiguration()
+        self.fs = self.path("").getFileSystem(self.conf)
+        self.conditional = urlsplit(self.root).scheme.lower() in CONDITIONAL
 
     def path(self, name: str):
         base = self.jvm.org.apache.hadoop.fs.Path(self.root)
@@ -95,17 +106,40 @@ class HadoopFiles:
         finally:
             stream.close()
 
-    def claim(self, name: str, text: str) -> bool:
+    def _put(self, name: str, text: str) -> None:
+        stream = self.fs.create(self.path(name), False)
         try:
-            stream = self.fs.create(self.path(name), False)
             stream.write(bytearray(text.encode()))
+        finally:
             stream.close()
-            return True
+
+    def claim(self, name: str, text: str) -> bool:
+        """Publish a file under a name that must be free; false if it is not."""
+        try:
+            if self.conditional:
+                self._put(name, text)
+                return True
+            folder, _, last = name.rpartition("/")
+            draft = f"{folder}/.{last}.{uuid.uuid4().hex}.tmp".lstrip("/")
+            self._put(draft, text)
+            try:
+                self._rename_if_free(draft, name)
+                return True
+            finally:
+                if self.fs.exists(self.path(draft)):
+                    self.fs.delete(self.path(draft), False)
         except Exception as e:
-            if "AlreadyExists" in str(e) or "PreconditionFailed" in str(e):
+            if any(m in str(e) for m in TAKEN):
                 return False
             raise
 
+    def _rename_if_free(self, old: str, new: str) -> None:
+        to = self.path(new)
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        none = self.jvm.java.lang.reflect.Array.newInstance(rename.NONE.getClass(), 1)
+        none[0] = rename.NONE
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.makeQualified(to).toUri(), self.conf).rename(self.path(old), to, none)
+
     def walk(self, folder: str) -> list[Entry]:
         at = self.path(folder)
         out, prefix = [], len(self.fs.makeQualified(at).toString()) + 1
@@ -132,4 +166,6 @@ class HadoopFiles:
 
 
 def files_of(spark: SparkSession, root: str) -> LocalFiles | HadoopFiles:
-    return LocalFiles(root) if root.startswith(("/", "file:/")) else HadoopFiles(spark, root)
+    """Local disks are asked directly; a path without a scheme is on the file system that Hadoop takes for the default."""
+    local = root.startswith("file:/") or (root.startswith("/") and spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"))
+    return LocalFiles(root) if local else HadoopFiles(spark, root)

@@ -8,6 +8,7 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
+from .. import errors
 from . import location
 
 
@@ -42,16 +43,21 @@ def _s3(options: dict, _: Callable) -> dict[str, str]:
     return {at + k: v for k, v in found.items() if v is not None}
 
 
+def _connection_fields(text: str) -> dict[str, str]:
+    fields = {}
+    for part in text.split(";"):
+        name, _, value = part.partition("=")  # values may hold further equals signs
+        if name.strip() and value.strip():
+            fields[name.strip().lower()] = value.strip()
+    return fields
+
+
 def _azure(options: dict, environment: Callable) -> dict[str, str]:
     account, tenant, client, secret = (_given(options, k) for k in ("account_name", "tenant_id", "client_id", "client_secret"))
     key, text = _given(options, "account_key"), _given(options, "connection_string")
     sas = endpoint = None
     if text:
-        fields = {}
-        for part in text.split(";"):
-            name, _, value = part.partition("=")  # values may hold further equals signs
-            if name.strip() and value.strip():
-                fields[name.strip().lower()] = value.strip()
+        fields = _connection_fields(text)
         account, key, sas, endpoint = (fields.get(k) for k in ("accountname", "accountkey", "sharedaccesssignature", "blobendpoint"))
         tenant = client = secret = None
     if not account:
@@ -72,6 +78,33 @@ def _azure(options: dict, environment: Callable) -> dict[str, str]:
     return found
 
 
+def _account(options: dict) -> tuple[str | None, str | None]:
+    """The account of a connection, and the blob endpoint if its connection string names one."""
+    fields = _connection_fields(_given(options, "connection_string") or "")
+    return (fields.get("accountname"), fields.get("blobendpoint")) if fields else (_given(options, "account_name"), None)
+
+
+def hadoop_uri(place: str, options: dict) -> str:
+    """A location in the scheme under which Hadoop opens it: s3a for S3, abfss with the account for Azure.
+
+    Azure locations that name their account (`container@account...`) keep it.
+    """
+    kind, scheme = location.classify(place), location.scheme_of(place)
+    if kind == location.LOCAL:
+        return place
+    rest = place.split("://", 1)[1]
+    if kind == location.S3:
+        return f"s3a://{rest}"
+    container, slash, path = rest.partition("/")
+    account, endpoint = _account(options)
+    plain = (endpoint or "").lower().startswith("http://") or scheme == "abfs"
+    if "@" not in container:
+        if not account:
+            raise errors.LakeError(errors.OPTION_MISMATCH, f"an {scheme} location does not name its account", "set 'account_name' or 'connection_string', or write abfss://container@account.dfs.core.windows.net/")
+        container += "@" + (urlsplit(endpoint).netloc if endpoint else f"{account}.dfs.core.windows.net")
+    return f"{'abfs' if plain else 'abfss'}://{container}{slash}{path}"
+
+
 def apply(spark: SparkSession, options: dict) -> None:
     """Put a connection's settings into the session's Hadoop configuration."""
     conf = spark._jsc.hadoopConfiguration()
