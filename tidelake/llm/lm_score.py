@@ -154,25 +154,33 @@ class Slice:
         out.bits = np.packbits(flags)
         return out
 
+    @staticmethod
+    def _start(keys: np.ndarray, entry: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the probes of (pair, entry) begin, and by how much each goes on."""
+        at = mix(keys + np.asarray(entry, np.uint64) * np.uint64(0xD1342543DE82EF95))
+        return at, mix(at) | np.uint64(1)
+
+    def _place(self, at: np.ndarray) -> np.ndarray:
+        return (((at >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+
     def _places(self, keys: np.ndarray, entry: int) -> Iterator[np.ndarray]:
-        at = mix(keys + np.uint64(entry * 0xD1342543DE82EF95 % 2**64))
-        step = mix(at) | np.uint64(1)
+        at, step = self._start(keys, entry)
         for _ in range(self.probes if entry == 1 else PROBES):
-            yield (((at >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+            yield self._place(at)
             at = at + step
 
-    def holds(self, keys: np.ndarray, entry: int) -> np.ndarray:
-        """Which of the pairs have this entry, by probing until a bit is missing."""
+    def holds(self, keys: np.ndarray, entry: int | np.ndarray, probes: int = PROBES) -> np.ndarray:
+        """Which of the pairs have this entry, or each its own, by probing until a bit is missing."""
         out = np.arange(len(keys))
-        probes = self.probes if entry == 1 else PROBES
-        at = mix(keys + np.uint64(entry * 0xD1342543DE82EF95 % 2**64))
-        step = mix(at) | np.uint64(1)
+        at, step = self._start(keys, entry)
         for _ in range(probes):
-            place = (((at >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+            place = self._place(at)
             hit = (self.bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
-            out, at, step = out[hit], at[hit] + step[hit], step[hit]
-            if not len(out):
-                break
+            if not hit.all():
+                out, at, step = out[hit], at[hit], step[hit]
+                if not len(out):
+                    break
+            at = at + step
         return out
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
@@ -180,16 +188,14 @@ class Slice:
         out = np.zeros(len(keys), np.float32)
         which, step = np.arange(len(keys)), 1
         while len(which) and step < 64:
-            which = which[self.holds(keys[which], step)]
+            which = which[self.holds(keys[which], step, self.probes if step == 1 else PROBES)]
             out[which] = float(step) if step <= EXACT else float(EXACT << (step - EXACT))
             step += 1
         large = np.flatnonzero(out >= EXACT)
         base = out[large].astype(np.float64)
         part = np.zeros(len(large))
-        for octave in np.unique(base):
-            here = np.flatnonzero(base == octave)
-            for j in range(MANTISSA):
-                part[here[self.holds(keys[large[here]], _mantissa_entry(int(octave), j))]] += 1 << j
+        for j in range(MANTISSA):
+            part[self.holds(keys[large], _mantissa_entry(base.astype(np.int64), j))] += 1 << j
         value = base + part * base / (1 << MANTISSA)
         out[large] = np.where(base > 1 << MANTISSA, value + base / (2 << MANTISSA), np.round(value))
         return out
@@ -206,8 +212,9 @@ class Slice:
         return full**self.probes
 
 
-def _mantissa_entry(octave: int, j: int) -> int:
-    return 64 + octave.bit_length() * MANTISSA + j
+def _mantissa_entry(octave: int | np.ndarray, j: int) -> int | np.ndarray:
+    """Octaves are powers of two."""
+    return 64 + np.bitwise_count(np.asarray(octave, np.int64) - 1).astype(np.int64) * MANTISSA + j
 
 
 def _entries(counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -227,7 +234,7 @@ def _entries(counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         for j in range(MANTISSA):
             at = large[(octave == o) & ((part >> j) & 1 == 1)]
             if len(at):
-                yield _mantissa_entry(int(o), j), at
+                yield int(_mantissa_entry(int(o), j)), at
 
 
 def _built(table: pa.Table, bits: int) -> Slice:
@@ -374,10 +381,16 @@ def _by_routing(docs: DataFrame, training: DataFrame, bits: int, mass: float) ->
 
     def answer(counted: pa.Table, asked: pa.Table) -> pa.Table:
         own = _built(counted, bits)
-        rows = []
-        for block, s, t, p in zip(*(asked[k] for k in ("block", "slice", "tokens", "pairs"))):
-            counts, pair_counts = own.token_counts(np.frombuffer(t.as_buffer(), np.uint64)), own.pair_counts(unpack_keys(p.as_buffer()))
-            rows.append((block.as_py(), s.as_py(), counts.tobytes(), pair_counts.tobytes(), None, None, None))
+        # All blocks' n-grams at once: each is looked up once, and no time goes into small arrays.
+        each = [(np.frombuffer(t.as_buffer(), np.uint64), unpack_keys(p.as_buffer())) for t, p in zip(asked["tokens"], asked["pairs"])]
+        none = np.zeros(0, np.uint64)
+        kinds, kind = np.unique(np.concatenate([none, *(t for t, _ in each)]), return_inverse=True)
+        keys, key = np.unique(np.concatenate([none, *(p for _, p in each)]), return_inverse=True)
+        counts, pair_counts = own.token_counts(kinds)[kind], own.pair_counts(keys)[key]
+        rows, at, of = [], 0, 0
+        for block, s, (t, p) in zip(asked["block"], asked["slice"], each):
+            rows.append((block.as_py(), s.as_py(), counts[at : at + len(t)].tobytes(), pair_counts[of : of + len(p)].tobytes(), None, None, None))
+            at, of = at + len(t), of + len(p)
         rows.append((None, None, None, None, len(own.uni), int(own.counts.sum()), own.false_rate()))
         return pa.Table.from_batches([_batch(_ANSWER, rows)])
 
