@@ -31,11 +31,11 @@ def pages(spark):
     return spark.createDataFrame([(*x, "clash", 1) for x in rows], "page_id long, url string, html string, digest string, bytes int").repartition(5), rows
 
 
-@pytest.mark.parametrize(("least", "range_rows"), [(0, 50_000), (20, 30)])
-def test_archives_round_trip(spark, tmp_path, least, range_rows):
+@pytest.mark.parametrize(("least", "range_rows", "run_rows"), [(0, 50_000, 200_000), (20, 30, 1), (0, 30, 25)])
+def test_archives_round_trip(spark, tmp_path, least, range_rows, run_rows):
     df, rows = pages(spark)
     warc.write_archives(df, str(tmp_path / "w"), least, archive_bytes=20_000)
-    merged = warc.merged_index(spark, str(tmp_path / "w"), range_rows).collect()
+    merged = warc.merged_index(spark, str(tmp_path / "w"), range_rows, run_rows).collect()
     order = [(r.urlkey, r.captured, r.archive, r.offset) for r in merged]
     assert order == sorted(order) and len({r.archive for r in merged}) > 3
     body = {i: (h or "").encode() for i, _, h in rows}
@@ -57,6 +57,17 @@ def test_archives_round_trip(spark, tmp_path, least, range_rows):
         assert headers["WARC-Type"] == r.record_type and (r.record_type == "revisit" or block.partition(b"\r\n\r\n")[2] == body[r.page_id] or r.page_id is None)
 
 
+def test_large_pages_among_small_ones_make_no_large_archive(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "CLASSES", [0, 1000, 50_000, 1 << 40])
+    monkeypatch.setattr(warc, "MOST_BYTES", 400_000)
+    rows = [(i, f"http://x/{i}", "s" * (i % 90)) for i in range(3000)] + [(5000 + i, f"http://x/{i}", f"{i}" + "l" * 190_000) for i in range(8)] + [(6000 + i, f"http://x/{i}", f"{i}" + "m" * 20_000) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"), archive_bytes=300_000)
+    assert max(f.stat().st_size for f in (tmp_path / "w").glob("part-*")) <= 400_000
+    got = warc.merged_index(spark, str(tmp_path / "w"))
+    assert Counter((r.page_id, r.payload_bytes) for r in got.collect()) == Counter((i, len(h)) for i, _, h in rows)
+
+
 def test_no_pages(spark):
     df, _ = pages(spark)
     assert warc.archive(df.where("false")).count() == 0

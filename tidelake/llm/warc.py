@@ -2,7 +2,8 @@
 
 Archives are written by the text sink, whose separator is the blank lines that end a WARC record, so they go through Spark's commit
 protocol to any file system. They are read back whole, file by file, and each file yields a run of index entries in order of
-URL key and time. The runs are range-partitioned by that order and merged, range by range, by a tree of losers.
+URL key and time. A task merges the runs of its archives by a tree of losers; what it makes is range-partitioned by that order and
+merged, range by range, by a tree again.
 """
 
 from __future__ import annotations
@@ -24,7 +25,13 @@ from .common import Saved, scratch_path
 END = "\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-ARCHIVE_BYTES, RANGE_ROWS = 16 << 20, 50_000
+#: Bytes that an archive is meant to have, and that it has at most if it holds several records: each is read back whole. Entries of a range
+#: of the index, and of a run that a task merges from its archives.
+ARCHIVE_BYTES, MOST_BYTES, RANGE_ROWS, RUN_ROWS = 16 << 20, 1 << 30, 50_000, 200_000
+#: Records are written by classes of payload sizes, so that few large ones among many small ones make no archive too large to read.
+CLASSES = [0, 1 << 18, 1 << 24, 1 << 40]
+#: Bytes that a record's headers take, of which urls may take some.
+HEADERS = 4096
 #: Rows of the table of revisits that are broadcast, about 64 MB; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Without a capture time of its own, a page is taken as captured so many seconds after this one as its id says.
@@ -68,7 +75,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
 
     Of pages with equal payloads of at least `least_bytes`, that with the largest page_id is a response and the others are revisits of it.
     Null html is an empty payload. Pages with a null page_id, and rows that repeat the largest, are responses. Null urls become
-    urn:page:<id>; white space and control characters in urls become %20.
+    urn:page:<id>; white space and control characters in urls become %20. Other columns are ignored; no pages make an empty archive.
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"))
@@ -76,9 +83,15 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     repeated = digests.df.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).where("least < refers_to").select(F.col("digest").alias("r_digest"), "refers_to")
     revisits = digests.df.join(repeated, F.col("digest") == F.col("r_digest")).where("page_id < refers_to").select(F.col("page_id").alias("r_page"), "r_digest", "refers_to").distinct()
     revisits = Saved(revisits, "revisits")
-    mean = digests.df.agg(F.avg("bytes")).first()[0] or 0
-    records = _records(pages, revisits.df, revisits.df.count() <= BROADCAST_ROWS)
-    records.write.option("lineSep", END).option("maxRecordsPerFile", max(1, int(archive_bytes / (mean + 500)))).text(path)
+    few = revisits.df.count() <= BROADCAST_ROWS
+    bytes_ = F.octet_length(body)
+    sizes = digests.df.select(*[F.struct(F.count(part).alias("n"), F.avg(part).alias("mean"), F.max(part).alias("most")).alias(f"c{i}") for i, (low, high) in enumerate(zip(CLASSES, CLASSES[1:])) for part in [F.when((F.col("bytes") >= low) & (F.col("bytes") < high), F.col("bytes"))]]).first()
+    for i, (low, high) in enumerate(zip(CLASSES, CLASSES[1:])):
+        n, mean, most = sizes[f"c{i}"]
+        if n or not i:
+            held = max(1, min(int(archive_bytes / ((mean or 0) + 500)), MOST_BYTES // ((most or 0) + HEADERS)))
+            records = _records(pages.where((bytes_ >= low) & (bytes_ < high)), revisits.df, few)
+            records.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", held).text(path)
     digests.drop()
     revisits.drop()
 
@@ -178,37 +191,61 @@ _FIELDS = [("urlkey", pa.string()), ("captured", pa.string()), ("page_id", pa.in
 _ENTRY = pa.schema(_FIELDS)
 
 
-def runs(spark: SparkSession, path: str) -> DataFrame:
-    """The sorted run of every archive under `path`, with `seq`, an entry's place in its run."""
+def _merged(runs: list[list[tuple]]) -> Iterator[tuple]:
+    return iter(LoserTree(runs)) if len(runs) > 1 else iter(runs[0] if runs else [])
+
+
+def runs(spark: SparkSession, path: str, run_rows: int = RUN_ROWS) -> DataFrame:
+    """Sorted runs of the index entries of all archives under `path`, with `run`, its name, and `seq`, an entry's place in it.
+
+    An archive is a run. A task merges those of its archives into longer ones of `run_rows` entries or so, so that fewer are left to merge.
+    """
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([*_FIELDS, ("seq", pa.int64())])
+        schema = pa.schema([*_FIELDS, ("run", pa.string()), ("seq", pa.int64())])
+        held: list[list[tuple]] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            name, block = held[0][0][7], []
+            for i, r in enumerate(_merged(held)):
+                block.append((*r, name, i))
+                if len(block) == 8192:
+                    yield _arrow(block, schema)
+                    block = []
+            yield _arrow(block, schema)
+
         for batch in it:
             for name, data in zip(batch.column(0), batch.column(1)):
-                rows = _entries(name.as_py().rpartition("/")[2], data.as_buffer())
-                yield _arrow([(*r, i) for i, r in enumerate(rows)], schema)
+                if rows := _entries(name.as_py().rpartition("/")[2], data.as_buffer()):
+                    held.append(rows)
+                if sum(map(len, held)) >= run_rows:
+                    yield from out()
+                    held = []
+        if held:
+            yield from out()
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(read, ENTRY + ", seq long")
+    return files.mapInArrow(read, ENTRY + ", run string, seq long")
 
 
-def merged_index(spark: SparkSession, path: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def merged_index(spark: SparkSession, path: str, range_rows: int = RANGE_ROWS, run_rows: int = RUN_ROWS) -> DataFrame:
     """The captures of all archives under `path` in one order: URL key, capture time, archive, offset.
 
     Partitions hold ranges of that order in turn. Ranges are cut by the whole order and not by the URL alone, so a URL of very many
-    captures spans several.
+    captures spans several, and each holds a bounded number of entries of any number of runs. Without captures there are no rows.
     """
     ship(spark)
-    saved = Saved(runs(spark, path), "runs")
+    saved = Saved(runs(spark, path, run_rows), "runs")
     n = max(1, -(-saved.df.count() // range_rows))
+    run = len(_FIELDS)
 
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple]] = {}
         for batch in it:
             for row in zip(*(c.to_pylist() for c in batch.columns[:-1])):
-                held.setdefault(row[7], []).append(row)
+                held.setdefault(row[run], []).append(row[:run])
         block: list[tuple] = []
-        for row in LoserTree(list(held.values())):
+        for row in _merged(list(held.values())):
             block.append(row)
             if len(block) == 8192:
                 yield _arrow(block, _ENTRY)
@@ -216,12 +253,12 @@ def merged_index(spark: SparkSession, path: str, range_rows: int = RANGE_ROWS) -
         yield _arrow(block, _ENTRY)
 
     # Within a range, each run's slice comes in its own order; only the tree brings the runs together.
-    dealt = saved.df.repartitionByRange(n, "urlkey", "captured", "archive", "offset").sortWithinPartitions("archive", "seq")
+    dealt = saved.df.repartitionByRange(n, "urlkey", "captured", "archive", "offset").sortWithinPartitions("run", "seq")
     return dealt.mapInArrow(merge, ENTRY)
 
 
 def archive(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
-    """Write `pages` as WARC archives, under a scratch folder if no path is given, and return their merged index."""
+    """Write `pages` as WARC archives, under a scratch folder if no path is given, and return their merged index; no pages give no rows."""
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write_archives(pages, path, least_bytes)
