@@ -236,6 +236,23 @@ def test_marks_outside_known_sentences_still_end_one(spark):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+def test_sql_finds_what_the_operator_finds(spark):
+    """On texts that hold what the tables' texts do not."""
+    import duckdb
+
+    from tidelake.llm import queries
+
+    texts = [f"Some words here: and more.\n{s}\nOther words follow. And more." for v in licenses.SENTENCES.values() for s in v]
+    texts += ["\n".join(licenses.SENTENCES[i][0] for i in ids) for _, ids in licenses.RULES]
+    texts += ["SPDX-License-Identifier: MIT SPDX-License-Identifier: ISC SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: MIT-0", "SPDX-License-Identifier:\n\nMIT", "xSPDX-License-Identifier: MIT", "spdx-licence-identifier :  mit.", "", None, "our license: none"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, n_known, sentence_ids, licenses FROM ({queries.ORACLES['op6_license_sentences']})").fetchall()}
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_awkward_licences(spark, with_clashes, no_docs):
     df, rows = with_clashes
     assert {r.licenses for r in licenses.scan(df).collect()} == {""} and licenses.scan(df).count() == len(rows) and licenses.scan(no_docs).count() == 0

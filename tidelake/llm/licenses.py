@@ -31,7 +31,17 @@ SENTENCES = {
     "GPL2plus": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "SPDX-License-Identifier: GPL-2.0-or-later"],
     "GPLnowarranty": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
     "GPLsee": ["See the GNU General Public License for more details."],
-    "GPLcopy": ["You should have received a copy of the GNU General Public License along with this program."],
+    "GPLcopy": ["You should have received a copy of the GNU General Public License along with this program.", "You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."],
+    "AGPL3ref": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "AGPL3plus": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "AGPLsee": ["See the GNU Affero General Public License for more details."],
+    "AGPLcopy": ["You should have received a copy of the GNU Affero General Public License along with this program."],
+    "LGPL21ref": ["Licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only"],
+    "LGPL21plus": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "LGPL3plus": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "LGPLnowarranty": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "LGPLsee": ["See the GNU Lesser General Public License for more details."],
+    "LGPLcopy": ["You should have received a copy of the GNU Lesser General Public License along with this library."],
     "LGPL3ref": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only"],
     "BSDref2": ["Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"],
     "BSDref3": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
@@ -39,6 +49,15 @@ SENTENCES = {
     "BSDsource": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
     "BSDbinary": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
     "BSDendorse": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
+    "BSDnowarranty": ["THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."],
+    "BSDnoliability": ["IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."],
+    "EPL2ref": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "Licensed under the Eclipse Public License 2.0.", "SPDX-License-Identifier: EPL-2.0"],
+    "BSL1ref": ["Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
+    "Zlibnowarranty": ["This software is provided 'as-is', without any express or implied warranty."],
+    "Zlibgrant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "ISCgrant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "ISCnowarranty": ["THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."],
+    "MPL2copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
     "MPL2ref": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"],
     "ISCref": ["Licensed under the ISC License.", "SPDX-License-Identifier: ISC"],
     "CCBYNC4ref": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
@@ -56,6 +75,14 @@ RULES = [
     ("Apache-2.0", ["Apache2use", "Apache2copy", "Apache2nowarranty", "Apache2see"]),
     ("GPL-3.0-or-later", ["GPL3plus", "GPLnowarranty", "GPLsee", "GPLcopy"]),
     ("GPL-2.0-or-later", ["GPL2plus", "GPLnowarranty", "GPLsee", "GPLcopy"]),
+    ("AGPL-3.0-or-later", ["AGPL3plus", "GPLnowarranty", "AGPLsee", "AGPLcopy"]),
+    ("LGPL-2.1-or-later", ["LGPL21plus", "LGPLnowarranty", "LGPLsee", "LGPLcopy"]),
+    ("LGPL-3.0-or-later", ["LGPL3plus", "LGPLnowarranty", "LGPLsee", "LGPLcopy"]),
+    ("BSD-3-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse", "BSDnowarranty", "BSDnoliability"]),
+    ("BSD-2-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDnowarranty", "BSDnoliability"]),
+    ("ISC", ["ISCgrant", "ISCnowarranty"]),
+    ("Zlib", ["Zlibnowarranty", "Zlibgrant"]),
+    ("MPL-2.0", ["MPL2ref", "MPL2copy"]),
     ("BSD-3-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse"]),
     ("BSD-2-Clause", ["BSDgrant", "BSDsource", "BSDbinary"]),
     ("MIT", ["MITref"]),
@@ -65,7 +92,15 @@ RULES = [
     ("GPL-3.0-only", ["GPL3ref"]),
     ("GPL-2.0-or-later", ["GPL2plus"]),
     ("GPL-2.0-only", ["GPL2ref"]),
+    ("AGPL-3.0-or-later", ["AGPL3plus"]),
+    ("AGPL-3.0-only", ["AGPL3ref"]),
+    ("LGPL-2.1-or-later", ["LGPL21plus"]),
+    ("LGPL-2.1-only", ["LGPL21ref"]),
+    ("LGPL-3.0-or-later", ["LGPL3plus"]),
     ("LGPL-3.0-only", ["LGPL3ref"]),
+    ("EPL-2.0", ["EPL2ref"]),
+    ("BSL-1.0", ["BSL1ref"]),
+    ("ISC", ["ISCgrant"]),
     ("BSD-3-Clause", ["BSDref3"]),
     ("BSD-2-Clause", ["BSDref2"]),
     ("MPL-2.0", ["MPL2ref"]),
@@ -78,7 +113,7 @@ RULES = [
 ]
 
 # A sentence without any of these words, in any case, is not a licence's.
-CUE = "licen[cs]e|copyright|permission|redistribut|warrant|free software|public domain|liable|conditions|endorse|released under"
+CUE = "licen[cs]e|copy of the mpl|copyright|permission|redistribut|warrant|free software|public domain|liable|conditions|endorse|released under"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -97,18 +132,34 @@ LICENCE_OF = {"".join(f"<{i}>" for i in ids): name for name, ids in reversed(RUL
 _CUT = r"[.!?:](?=[ \t\n\x0B\f\r])"
 
 
+def _inner_marks() -> dict[str, list[str]]:
+    """What looks like an end of a sentence inside a known one: the words before it, as an expression, and those that may come after."""
+    spelt = lambda part: "[^a-z0-9]+".join(normal(part).replace("license", "licen[cs]e").split())
+    out: dict[str, list[str]] = {}
+    for s in (s for v in SENTENCES.values() for s in v):
+        for m in re.finditer(_CUT, s):
+            rests = out.setdefault(spelt(s[: m.start()]), [])
+            if (rest := spelt(s[m.end() :])) not in rests:
+                rests.append(rest)
+    return out
+
+
 def _kept_together() -> str:
     """Matches a known sentence that holds what looks like an end of one, up to the mark there; group 1 is that part."""
-    spelt = lambda part: "[^a-z0-9]++".join(normal(part).replace("license", "licen[cs]e").split())
-    places = [(spelt(s[: m.start()]), spelt(s[m.end() :])) for v in SENTENCES.values() for s in v for m in re.finditer(_CUT, s)]
-    rests: dict[str, list[str]] = {}
-    for before, after in places:
-        rests.setdefault(before, []).append(after)
-    # The run of other characters is taken whole after the mark, so no place is tried twice.
-    each = [f"{k}[^a-z0-9]*?{_CUT}(?=[^a-z0-9]++(?:{'|'.join(v)})(?![a-z0-9]))" for k, v in rests.items()]
+    # The run of other characters is taken whole, so no place is tried twice.
+    each = [f"{k}[^a-z0-9]*?{_CUT}(?=[^a-z0-9]+(?:{'|'.join(v)})(?![a-z0-9]))".replace("[^a-z0-9]+", "[^a-z0-9]++") for k, v in _inner_marks().items()]
     return f"(?i)(?<![a-z0-9])({'|'.join(each)})"
 
 
+def kept_together_sql(text: str) -> str:
+    """The same in SQL without looking around: once for each such beginning, twice over, as two in a row share the character between them."""
+    for _ in range(2):
+        for k, v in _inner_marks().items():
+            pattern = f"(?i)(^|[^a-z0-9])({k}[^a-z0-9]*?[.!?:])([ \\t\\n\\v\\f\\r][^a-z0-9]*(?:{'|'.join(v)})(?:[^a-z0-9]|$))"
+            text = f"regexp_replace({text}, '{pattern}', '\\1\\2-\\3', 'g')"
+    return text
+
+
 KEPT_TOGETHER = _kept_together()
 
 
@@ -128,7 +179,8 @@ def scan(docs: DataFrame) -> DataFrame:
     'v. 2.0') ends none. Returns doc_id, n_known (known licence sentences), sentence_ids
     (identifiers in order, each in angle brackets; lines with licence vocabulary that are not known stand as <?>), licenses (names stated by
     the rules, sorted, once each, joined by commas). Null and empty texts, and texts without such vocabulary, have 0 and ''.
-    Repeated rows stay; whole texts are read.
+    Repeated rows, and rows with a null doc_id, stay; an empty table gives an empty result. Other columns are ignored, whatever their
+    names; whole texts are read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has_cue = lambda s: s.rlike(f"(?i){CUE}")

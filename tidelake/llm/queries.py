@@ -98,7 +98,7 @@ ORACLES: dict[str, str] = {
     "op6_license_sentences": f"""
         WITH known(s2, id) AS (VALUES {_KNOWN}), rules(m, name) AS (VALUES {_LICENCES}),
         sentences AS (SELECT doc_id, i, l[i] AS s, {_NORMAL.format(_LOWERED.format("l[i]"))} AS n FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM
-                  (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?:])[ \\t\\n\\v\\f\\r]+', '\\1\n\n', 'g'), '\\n[ \\t\\r]*\\n') AS l FROM documents))),
+                  (SELECT doc_id, regexp_split_to_array(regexp_replace({licenses.kept_together_sql("coalesce(text, '')")}, '([.!?:])[ \\t\\n\\v\\f\\r]+', '\\1\n\n', 'g'), '\\n[ \\t\\r]*\\n') AS l FROM documents))),
         cued AS (SELECT doc_id, i, s, id FROM sentences LEFT JOIN known ON n = known.s2 WHERE regexp_matches(s, '(?i){licenses.CUE}')),
         pieces AS (SELECT doc_id, i, 0 AS j, id FROM cued WHERE id IS NOT NULL UNION ALL
                    SELECT doc_id, i, j, coalesce(known.id, '?') AS id FROM
