@@ -19,7 +19,11 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, with hardly any, or far from every learned language, go; lang becomes what was found."""
+    """Documents without a letter, with hardly any, or far from every learned language, go; lang becomes what was found.
+
+    So null, empty and blank texts go. Rows with a null doc_id are judged by their text, and repeated rows each. With no lang to learn from,
+    nothing is known and every document goes.
+    """
     ship(spark)
     model = langid.fit(langid.training_rows(docs))
     found = langid.identify(docs.select(*DOCUMENT_COLUMNS), model, reject=True)
@@ -28,24 +32,38 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier of low quality go."""
+    """Documents that are likelier of low quality go.
+
+    Null and empty texts are judged as texts without features, rows with a null doc_id by their text, and repeated rows each. Without a
+    label to learn from all stay.
+    """
     ship(spark)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.classify(docs.select(*DOCUMENT_COLUMNS), model).where("predicted = 1").select(*DOCUMENT_COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that shingles of five words link at a similarity of 0.8, the one with the smallest doc_id stays."""
+    """Of each group of documents that shingles of five words link at a similarity of 0.8, the one with the smallest doc_id stays.
+
+    Rows without words and rows with a null doc_id stay. Rows that repeat a doc_id and text are one document and stay or go together; rows of
+    one doc_id with different texts stay or go each for its own text.
+    """
     return near_dedup.keep_one(docs.select(*DOCUMENT_COLUMNS), width=5, percent=80)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items are cut from the texts; a document of which nothing is left goes."""
+    """Passages of benchmark items are cut from the texts; a document of which nothing is left goes.
+
+    Texts without a passage, null and empty ones among them, keep every byte. n_chars follows a text that was cut. Repeated rows, and rows
+    with a null doc_id, are each cut for themselves.
+    """
     return decontaminate.decontaminate(docs.select(*DOCUMENT_COLUMNS), read(spark, sf_dir, "benchmark"), window=10)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, placed in sequences of 4096 ids."""
+    """Pieces of documents, placed in sequences of 4096 ids. Null and empty texts are their end id; repeated rows are packed each, and null
+    doc_ids stay null. An empty table gives an empty result, here and in all stages; columns other than those of documents are dropped.
+    """
     return packing.pack(docs, tokenizer_path(), end=2, window=4096)
 
 

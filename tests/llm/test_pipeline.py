@@ -1,5 +1,7 @@
 """The queries against their SQL, and the pipeline against what each stage must do."""
 
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -68,3 +70,51 @@ def test_empty_documents_pass_all_stages(spark, data, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, data)
     assert docs.count() == 0
+
+
+def joined_rows(rows):
+    """For each row, whether it is the first of its group, as brute force over all rows tells."""
+    shingles = []
+    for r in rows:
+        w = (r.text or "").encode().lower().split()
+        shingles.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w and r.doc_id is not None else set())
+    least = [r.doc_id for r in rows]
+    while True:
+        before = list(least)
+        for i in range(len(rows)):
+            for j in range(i):
+                a, b = shingles[i], shingles[j]
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+        if before == least:
+            break
+    return [not s or r.doc_id == k for r, s, k in zip(rows, shingles, least)]
+
+
+def test_stages_on_awkward_documents(spark, data, with_clashes):
+    """Null, repeated and two-text ids, null and empty and very long texts, ties and columns of clashing names."""
+    awkward, _ = with_clashes
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    again = awkward.where("doc_id in (0, 2)")  # repeated rows
+    for name in ("language", "quality", "near_duplicates", "decontamination"):
+        mixed = docs.unionByName(awkward.unionByName(again), allowMissingColumns=True) if name != "near_duplicates" else awkward.unionByName(again)
+        rows = Saved(mixed, "mixed").df
+        out = stages[name](spark, rows, data)
+        assert tuple(out.columns) == DOCUMENT_COLUMNS
+        before, after = rows.select(*DOCUMENT_COLUMNS).collect(), out.collect()
+        have = Counter((r.doc_id, r.text) for r in before)
+        got = Counter((r.doc_id, r.text) for r in after)
+        if name != "decontamination":
+            assert got <= have and all(got[k] in (0, n) for k, n in have.items())  # repeated rows stay or go together
+        if name == "language":
+            assert not [r for r in after if not (r.text or "").strip()] and all(r.lang in ("en", "de", "es", "fr") for r in after)
+        if name == "near_duplicates":
+            assert got == Counter((r.doc_id, r.text) for r, stays in zip(before, joined_rows(before)) if stays)
+            assert (4, before[0].text) not in got and [k for k in got if k[0] is None]
+        if name == "decontamination":
+            assert Counter(k[0] for k in got) == Counter(k[0] for k in have) or len(after) < len(before)
+            assert decontaminate.contaminated(out, spark.read.parquet(f"{data}/benchmark.parquet")).where("n_hit > 0").count() == 0
+    packed = stages["packing"](spark, Saved(awkward, "awkward").df, data).collect()
+    starts = Counter(r.doc_id for r in packed if r.start == 0)
+    assert starts == Counter(r.doc_id for r in awkward.collect())
