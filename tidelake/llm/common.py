@@ -22,9 +22,11 @@ _cleaned: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one of our own only where that is unset."""
+    """The shared folder of spark.checkpoint.dir; a temporary one of our own only where that is unset and all runs in one process."""
     if path := spark.conf.get("spark.checkpoint.dir", None):
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, tables in between need a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="tidelake-scratch-")
@@ -103,7 +105,7 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str, rows_pe
     A key may hold most rows: each is dealt into buckets by the hash of `order`, numbered inside its bucket, and shifted by
     what the buckets before it hold. Only the counts of (key, bucket) meet, one row per 20,000 rows or so. They are broadcast
     where `key_bound`, the most keys there can be, holds them under a million rows, and shuffled otherwise.
-    Ties in `order` are numbered in any order; null keys form one key.
+    Ties in `order` are numbered in any order; null keys form one key. Rows equal in `order` fall into one bucket, so it should tell rows apart.
     """
     n = max(1, -(-df.count() // rows_per_bucket))
     dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))

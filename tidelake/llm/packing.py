@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,21 +126,23 @@ def encode(text: bytes | None, path: str, end: int) -> bytes:
 
 
 def pieces(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): each document's full windows and its rest."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
+    """(doc_id, start, length, ids_crc32, doc_tokens, place): each document's full windows and its rest; `place` tells equal rows apart."""
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "place")])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 40
         for batch in it:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), binary_list(batch.column(1))):
                 ids = encode(text, path, end)
                 for at in range(0, len(ids), 4 * window):
                     part = ids[at : at + 4 * window]
-                    out.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4))
-            cols = list(zip(*out)) or [()] * 5
+                    out.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, place))
+                    place += 1
+            cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long")
 
 
 @dataclass(frozen=True)
@@ -357,7 +360,7 @@ def pack(docs: DataFrame, path: str, end: int = 2, window: int = 4096) -> DataFr
         for column, value in zip(by_length.setdefault(x, ([], [], [], [])), values):
             column.append(value)
     table = spark.createDataFrame([(k, *v) for k, v in by_length.items()], "len long, firsts array<long>, sequences array<long>, places array<array<long>>, steps array<string>")
-    ranked = numbered(made.df, ["length"], ["doc_id", "start", "ids_crc32"], "rank", key_bound=window)
+    ranked = numbered(made.df, ["length"], ["place"], "rank", key_bound=window)  # a document repeated very often is dealt like others
     # A length's slots stand in order of their first rank: the last of those not past a piece's rank is its own.
     placed = ranked.join(F.broadcast(table), F.col("length") == F.col("len"))
     placed = placed.withColumn("slot", F.size(F.filter("firsts", lambda f: f <= F.col("rank"))) - 1)
