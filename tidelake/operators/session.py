@@ -183,6 +183,9 @@ class WriteSession:
                 local = local if local.num_rows <= LOCAL_ROWS else None
             if local is None:
                 rows.write.parquet(path)
+                if sum(e.size for e in self.files.walk(once)) <= LOCAL_BYTES // 8:  # the estimate was too high, or there was none
+                    local = self.spark.read.schema(self.incoming).parquet(path).select(*[F.col(f"`{c}`") for c in self.incoming.names]).limit(LOCAL_ROWS + 1).toArrow()
+                    local = local if local.num_rows <= LOCAL_ROWS else None
             found = watch.findings()
             guards.enforce(found)
             if not found.rows and not self._metadata():
@@ -202,5 +205,4 @@ class WriteSession:
             version = self._publish(staged, touched, "MERGE", parameters, blind=False)
             return WriteResult(found.rows, len(self.frames), version, derived.filters, derived.reason)
         finally:
-            if local is None:
-                self.files.delete(once)
+            self.files.delete(once)

@@ -6,13 +6,14 @@ import datetime
 import decimal
 import json
 import math
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from ..sources.snapshot import escape_path, unescape
 STAGING = "_staging"
 #: Text of a bound that statistics keep.
 STATS_TEXT = 32
+_MOMENT = re.compile(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?")
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -64,11 +66,36 @@ def stage(df: DataFrame, files: LocalFiles | HadoopFiles, root: str, partitions:
 
 
 def _counted(df: DataFrame, path: str, entries: list[Entry], body: list[T.StructField]) -> list[dict]:
-    """Rows of each file, by a job: for stores whose files this process cannot open."""
+    """Rows, bounds and null counts of each file, by a job: for stores whose files this process cannot open."""
     read = df.sparkSession.read.schema(T.StructType(body)).option("recursiveFileLookup", "true").parquet(path)
-    found = {r["f"]: r["n"] for r in read.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    names = {unquote(k): v for k, v in found.items()}
-    return [{"numRecords": next((v for k, v in names.items() if k.endswith(f"/{e.path}")), 0)} for e in entries]
+    bounded = [f.name for f in body if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampNTZType, T.StringType))]
+    flat = [f.name for f in body if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    asked = [F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(flat)]]
+    for i, c in enumerate(bounded):
+        v = F.col(f"`{c}`")
+        if isinstance(read.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            asked.append(F.max(F.isnan(v)).alias(f"odd{i}"))
+        text = isinstance(read.schema[c].dataType, (T.DateType, T.TimestampNTZType))  # Python cannot hold all of these
+        asked += [(f(v).cast("string") if text else f(v)).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max))]
+    rows = read.groupBy(F.col("_metadata.file_path").alias("f")).agg(*asked).collect()  # a row for each file that was written
+    # Spark names a file by its whole location: what comes after the staging folder is its path there.
+    mark = f"/{path.rstrip('/').rpartition('/')[2]}/"
+    found = {unquote(r["f"]).rpartition(mark)[2]: r for r in rows}
+    return [_stats_of_row(found.get(e.path), bounded, flat) for e in entries]
+
+
+def _stats_of_row(r: Row | None, bounded: list[str], flat: list[str]) -> dict:
+    if r is None:
+        return {"numRecords": 0}
+    low, high = {}, {}
+    for i, c in enumerate(bounded):
+        if r[f"odd{i}"] if f"odd{i}" in r else False:
+            continue
+        for out, value, upper in ((low, r[f"lo{i}"], False), (high, r[f"hi{i}"], True)):
+            value = value.replace(" ", "T") if isinstance(value, str) and _MOMENT.fullmatch(value) else value
+            if (plain := _plain(value, upper)) is not None:
+                out[c] = plain
+    return {"numRecords": r["n"], "minValues": low, "maxValues": high, "nullCount": {c: r["n"] - r[f"c{i}"] for i, c in enumerate(flat)}}
 
 
 def _plain(value: object, upper: bool) -> object:

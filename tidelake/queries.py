@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable
 
@@ -12,8 +13,8 @@ from . import errors
 from .catalog import Lake, LakeTable
 from .functions import predicate as language
 from .plans.windows import Window
-from .sources import connection, delimited, location, storage
-from .sources.files import HadoopFiles
+from .sources import connection, delimited, location, log, storage
+from .sources.files import HadoopFiles, files_of
 from .streaming.watermark import Seen, WatermarkStore
 from .workspace import fresh_root
 
@@ -352,6 +353,50 @@ def _code(f: Callable[[], object]) -> tuple[str, bool]:
     return "none", False
 
 
+@query("SELECT * FROM orders")
+def checkpoint_multipart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose log was cleaned behind a checkpoint of two parts, as other engines leave it, and one more commit."""
+    t = _two_versions(spark, sf_dir)
+    files, state = files_of(spark, t.root), t.snapshot().state
+    adds = [json.dumps({"add": a}) for a in state.files.values()]
+    parts = [[json.dumps({"protocol": state.protocol}), json.dumps({"metaData": state.metadata}), *adds[::2]], adds[1::2] or [json.dumps({"txn": {"appId": "a", "version": 1}})]]
+    shape = spark.read.json(spark.sparkContext.parallelize([x for p in parts for x in p])).schema
+    for i, lines in enumerate(parts):
+        spark.read.schema(shape).json(spark.sparkContext.parallelize(lines, 1)).write.parquet(f"{t.root}/_staging/part{i}")
+        written = next(e.path for e in files.walk(f"_staging/part{i}") if e.path.endswith(".parquet"))
+        files.move(f"_staging/part{i}/{written}", f"{log.LOG}/{state.version:020d}.checkpoint.{i + 1:010d}.{len(parts):010d}.parquet")
+    for v in range(state.version + 1):
+        files.delete(log.commit_name(v))
+    t.append(_read(spark, sf_dir, "orders").where("false"))
+    return t.read()
+
+
+# What tables ask of their writers, and the codes of an append, a replace and a merge that updates.
+WRITERS = [
+    ("plain", {}, {}, "none", "none", "none"), ("append only", {}, {"delta.appendOnly": "true"}, "none", errors.WRITE_FAILED, errors.WRITE_FAILED), ("constraint", {}, {"delta.constraints.few": "id < 100"}, errors.WRITE_FAILED, errors.WRITE_FAILED, errors.WRITE_FAILED),
+    ("column mapping", {"minReaderVersion": 1, "minWriterVersion": 5}, {}, errors.WRITE_FAILED, errors.WRITE_FAILED, errors.WRITE_FAILED), ("unknown feature", {"minReaderVersion": 1, "minWriterVersion": 7, "writerFeatures": ["rowTracking"]}, {}, errors.WRITE_FAILED, errors.WRITE_FAILED, errors.WRITE_FAILED),
+    ("known feature", {"minReaderVersion": 1, "minWriterVersion": 7, "writerFeatures": ["appendOnly", "invariants"]}, {}, "none", "none", "none"), ("later writer", {"minReaderVersion": 1, "minWriterVersion": 8}, {}, errors.WRITE_FAILED, errors.WRITE_FAILED, errors.WRITE_FAILED),
+    ("change feed", {"minReaderVersion": 1, "minWriterVersion": 4}, {"delta.enableChangeDataFeed": "true"}, errors.WRITE_FAILED, errors.WRITE_FAILED, errors.WRITE_FAILED),
+]
+
+
+@query(_values([(n, *codes) for n, _, _, *codes in WRITERS], ["case_name", "append_code", "replace_code", "merge_code"]))
+def writer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes keep what a table's protocol and properties ask, or are refused."""
+    lake, base, found = Lake(spark, fresh_root(spark, "writers")), spark.createDataFrame([(1, 1.0)], "id long, amt double"), []
+    for i, (name, protocol, properties, *_) in enumerate(WRITERS):
+        codes = []
+        for how in ("append", "replace", "merge"):
+            t = lake.table(f"{how}{i}")
+            t.append(base)
+            snapshot = t.snapshot()
+            metadata = snapshot.state.metadata | {"configuration": properties}
+            log.commit(files_of(spark, t.root), snapshot.version, [{"protocol": protocol or snapshot.state.protocol}, {"metaData": metadata}, log.commit_info("SET", {}, None)], True)
+            codes.append(_code(lambda: t.write(base, how, ["id"] if how == "merge" else None))[0])  # noqa: B023
+        found.append((name, *codes))
+    return spark.createDataFrame(found, "case_name string, append_code string, replace_code string, merge_code string")
+
+
 # Every refusal with its code and whether trying again can help.
 GUARDS = [
     ("unknown_option", errors.WRITE_OPTION, False), ("mode_option", errors.WRITE_OPTION, False), ("bad_strategy", errors.WRITE_OPTION, False), ("bad_file_bytes", errors.WRITE_OPTION, False), ("repeated_partition", errors.WRITE_OPTION, False), ("version_option", errors.VERSION_ON_WRITE, False), ("merge_without_keys", errors.MERGE_WITHOUT_KEYS, False),

@@ -21,11 +21,13 @@ def _clean(spark: SparkSession, path: str) -> None:
 
 
 def fresh_root(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place of spark.checkpoint.dir; in a temporary one of ours only where that is unset.
+    """A new folder in the shared place of spark.checkpoint.dir; in a temporary one of ours only where that is unset and all runs in one process.
 
     It goes when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, tables in between need a folder that all machines share")
     if not base:
         app = spark.sparkContext.applicationId
         if app not in _own:
