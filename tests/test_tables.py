@@ -458,3 +458,26 @@ def test_object_store_locations_open_under_hadoops_schemes(spark, tmp_path):
         x.write(frame(spark, [(1, "w", float(i))]))
     s[0].commit()
     assert code(s[1].commit) == errors.CONFLICT
+
+
+def test_statistics_by_a_job_are_those_of_the_footers(spark, tmp_path):
+    import datetime
+
+    from tidelake.operators import staging
+    from tidelake.sources.snapshot import _typed
+
+    df = spark.range(0, 500).selectExpr("id", "concat('p', id % 3) p", "if(id % 7 = 0, null, id * 1.5) f", "if(id % 50 = 3, double('nan'), id) g", "date_add(date '2020-01-01', cast(id as int)) d", "cast(timestamp_seconds(id * 997) as timestamp_ntz) ts", "cast(id / 3 as decimal(12,3)) x", "concat('name ', id, repeat('x', cast(id % 60 as int))) s", "id % 2 = 0 b", "named_struct('a', id) n", "cast(null as int) z").repartition(2, "p")
+    local, hadoop = LocalFiles(str(tmp_path)), HadoopFiles(spark, f"file://{tmp_path}")
+    staged = staging.stage(df, local, str(tmp_path), ["p"], 1000)
+    body = [f for f in df.schema.fields if f.name != "p"]
+    counted = staging._counted(df, f"{tmp_path}/{staged.folder}", [e for e, _ in staged.entries], body)
+    assert len(counted) > 3 and [e.path for e in hadoop.walk(staged.folder) if e.path.endswith(".parquet")] == [e.path for e, _ in staged.entries]
+    kinds = {f.name: f.dataType for f in body}
+    for (_, footer), job in zip(staged.entries, counted):
+        assert footer["numRecords"] == job["numRecords"]
+        assert {k: v for k, v in job["nullCount"].items()} == {k: v for k, v in footer["nullCount"].items() if k in job["nullCount"]}
+        for side in ("minValues", "maxValues"):
+            both = set(footer[side]) & set(job[side])
+            assert {"id", "f", "d", "ts"} <= both and not {"z", "n"} & (set(job[side]) | set(footer[side])) and ("g" in job[side]) == ("g" in footer[side])
+            assert all(_typed(footer[side][k], kinds[k]) == _typed(job[side][k], kinds[k]) for k in both)
+    assert isinstance(datetime.date.fromisoformat(counted[0]["minValues"]["d"]), datetime.date)
