@@ -18,12 +18,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     plain = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
     plain = plain.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, seen = Saved(plain, "cc"), None
-    while True:
-        state = now.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
-            break
-        seen = tuple(state)
+    now = Saved(plain, "cc")
+    while not _stars(now.df):
         for star in (_large_star, _small_star):
             step = Saved(star(now.df), "cc")
             now.drop()
@@ -32,6 +28,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return now.df.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each larger end has one smaller neighbour, which has none: then that is the component."""
+    down = edges.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    if down.where("lo < hi").limit(1).count():
+        return False
+    return not edges.select("v").distinct().join(edges.select(F.col("u").alias("w")), F.col("v") == F.col("w"), "left_semi").limit(1).count()
+
+
 def _least(edges: DataFrame) -> DataFrame:
     """(w, m): nodes with a smaller neighbour, and the least of those. It is a table of its own, so that a join with it has plain
     shuffles on both sides, which Spark splits where a node has very many edges."""

@@ -145,7 +145,13 @@ def _sets_of(ids: DataFrame, docs: DataFrame, width: int) -> Saved:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full sets meet the threshold."""
+    """Of the pairs (a, b), those whose full sets meet the threshold.
+
+    Each pair brings both sets to one row. Their sizes are near each other, as `_near` has seen to, so a document that is in very many
+    pairs costs no more than its partners' own sets do. Spark bounds the batches that reach Python by bytes.
+    """
+    if not pairs.limit(1).count():
+        return pairs.select(F.col("a").cast("long"), F.col("b").cast("long"))
     sets = _sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), docs, width)
     left, right = sets.df.withColumnRenamed("id", "a").withColumnRenamed("items", "x"), sets.df.withColumnRenamed("id", "b").withColumnRenamed("items", "y")
 
@@ -165,7 +171,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return found.df
 
 
-_TILE = "g long, tile long, lo long, hi long, c0 long, c1 long, ids binary, n binary, c binary, bits binary, ends binary, items binary"
+_TILE = "g long, kind int, tile long, lo long, hi long, c0 long, c1 long, ids binary, n binary, c binary, bits binary, ends binary, items binary"
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -175,8 +181,9 @@ def _tiles(members: DataFrame) -> DataFrame:
         n, ids, c = (table[k].to_numpy() for k in ("n", "id", "c"))
         items = table["items"].to_pylist()
         bits = np.array(table["bits"].to_pylist(), np.int64)
-        cols = [table["g"][0].as_py(), int(ids.min()), int(n.min()), int(n.max()), int(c.min()), int(c.max()), ids.tobytes(), n.tobytes(), c.tobytes(), bits.tobytes(), np.cumsum([len(x) // 8 for x in items]).tobytes(), b"".join(items)]
-        return pa.table([pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()) for v in cols], names=["g", "tile", "lo", "hi", "c0", "c1", "ids", "n", "c", "bits", "ends", "items"])
+        cols = [table["g"][0].as_py(), table["kind"][0].as_py(), int(ids.min()), int(n.min()), int(n.max()), int(c.min()), int(c.max()), ids.tobytes(), n.tobytes(), c.tobytes(), bits.tobytes(), np.cumsum([len(x) // 8 for x in items]).tobytes(), b"".join(items)]
+        kinds = [pa.int64(), pa.int32(), *[pa.binary() if isinstance(v, bytes) else pa.int64() for v in cols[2:]]]
+        return pa.table([pa.array([v], k) for v, k in zip(cols, kinds)], names=["g", "kind", "tile", "lo", "hi", "c0", "c1", "ids", "n", "c", "bits", "ends", "items"])
 
     return members.groupBy("g", "kind", "part").applyInArrow(pack, _TILE)
 
@@ -245,15 +252,19 @@ def _compared(pairs: DataFrame, percent: int, most: int) -> DataFrame:
 def _tiled(crowd: DataFrame, docs: DataFrame, width: int, percent: int, most: int) -> DataFrame:
     """Links between members (g, id, n, c, bits) of the same g in different components."""
     spark = docs.sparkSession
+    if not crowd.limit(1).count():
+        return crowd.select(F.col("g").alias("a"), F.col("id").alias("b"))
     sets = _sets_of(crowd.select("id"), docs, width)
     kind = F.floor(F.log(F.col("n").cast("double")) / log(SIZE_STEP)).cast("int")
     placed = numbered(crowd.withColumn("kind", kind), ["g", "kind"], ["id"], "at", rows_per_bucket=4 * TILE).withColumn("part", F.floor(F.col("at") / TILE)).drop("at")
     tiles = Saved(_tiles(placed.join(sets.df, "id")), "tiles")
     sets.drop()
-    about = tiles.df.select("g", "tile", "lo", "hi", "c0", "c1")
-    a, b = about.alias("a"), about.alias("b")
+    # Tiles meet those of their own kind of size and of the few kinds above it that a link can span.
+    about = tiles.df.select("g", "kind", "tile", "lo", "hi", "c0", "c1")
+    span = int(log(100 / percent) / log(SIZE_STEP)) + 1
+    a, b = about.withColumn("k", F.explode(F.sequence(F.col("kind"), F.col("kind") + span))).alias("a"), about.alias("b")
     fit = (F.least("a.hi", "b.hi") * 100 >= F.greatest("a.lo", "b.lo") * percent) & ~((F.col("a.c0") == F.col("a.c1")) & (F.col("b.c0") == F.col("b.c1")) & (F.col("a.c0") == F.col("b.c0")))
-    wanted = Saved(a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.tile") <= F.col("b.tile")) & fit).select(F.col("a.g").alias("g"), F.col("a.tile").alias("a"), F.col("b.tile").alias("b")), "wanted")
+    wanted = Saved(a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.k") == F.col("b.kind")) & ((F.col("a.kind") < F.col("b.kind")) | (F.col("a.tile") <= F.col("b.tile"))) & fit).select(F.col("a.g").alias("g"), F.col("a.tile").alias("a"), F.col("b.tile").alias("b")), "wanted")
     side = lambda s: tiles.df.select("g", F.col("tile").alias(s), *[F.col(k).alias(f"{k}_{s}") for k in ("ids", "n", "c", "bits", "ends", "items")])
     joined = wanted.df.join(side("a"), ["g", "a"]).join(side("b"), ["g", "b"])
     with small_batches(spark, 2):
@@ -337,7 +348,8 @@ def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     placed = members.df.select("key", "rep").join(first.df, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
     placed = Saved(placed, "placed")
     split = placed.df.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"), F.min("rep").alias("first")).where("c0 < c1").select("key", "size", "first")
-    rest = Saved(placed.df.join(split, "key").select("key", "rep", "c", "size", "first"), "rest")
+    split = Saved(split, "split")  # a table of its own, so that Spark splits a key of very many members in the join
+    rest = Saved(placed.df.join(split.df, "key").select("key", "rep", "c", "size", "first"), "rest")
     large = rest.df.where(F.col("size") > SMALL)
     groups = Saved(components(large.select(F.col("rep").alias("a"), F.col("first").alias("b"))), "groups")
     most = far(threshold)
@@ -362,7 +374,7 @@ def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     labels = labels.join(second.df, F.col("c") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "c").alias("label"))
     labels = Saved(labels, "labels")
     out = Saved(rows.df.join(labels.df, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")), "near")
-    for table in (rows, shared, members, star, first, placed, rest, groups, crowd, few, cross, second, labels):
+    for table in (rows, shared, members, star, first, placed, split, rest, groups, crowd, few, cross, second, labels):
         table.drop()
     return out.df.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
