@@ -130,3 +130,71 @@ def test_any_number_of_positives_follows_one_rule(spark):
         got = {r.doc_id: r for r in quality.classify(docs, model).collect()}
         if n == 60:
             assert all(got[i].predicted == 1 for i in range(60)) and not any(got[1000 + i].predicted for i in range(20))
+
+
+def test_quality_is_that_of_brute_force_over_all_rows(spark):
+    """The same model from all features at once, without Spark; and scores that are the formula's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit(docs, labels)
+    rows = docs.select("doc_id", "text").collect()
+    trusted = {r.doc_id for r in labels.collect() if r.quality == 1 and fold(r.doc_id, 3) != 1}
+    x = np.stack([quality.vector(r.text.encode() if r.text else None).astype(np.float16).astype(np.float64) for r in rows])
+    order = {r.id: i for i, r in enumerate(quality._featured(docs, spark.createDataFrame([(i,) for i in trusted], "id long")).df.where("mine").selectExpr("id", "xxhash64(id, x) h").distinct().orderBy("h", "id").collect())}
+    p = np.stack([v for _, v in sorted((order[r.doc_id], v.tolist()) for r, v in zip(rows, x) if r.doc_id in trusted)])
+    u, one = quality.Moments.of(x), lambda v: np.column_stack([v, np.ones(len(v))])
+
+    def left_out(fitted):
+        shares = []
+        for f in quality.folds(p):
+            w = fitted(quality.Moments.of(p[~f]))
+            shares += [(one(x) @ w < s - 1e-9).mean() for s in np.sort(one(p[f]) @ w)]
+        return np.array(shares)
+
+    prior = quality.estimate_prior(left_out(lambda m: quality.separating(m, u)))
+    risk_of = lambda m: quality.non_negative_risk(m, u, prior)
+    w = risk_of(quality.Moments.of(p))
+    share = quality.cut_share(left_out(risk_of), prior)
+    assert abs(model.prior - prior) < 1e-3 and np.allclose(model.weights[:-1], w[:-1], atol=1e-3 * np.abs(w).max())
+    got = {r.doc_id: r for r in quality.classify(docs.select("doc_id", "text"), model).collect()}
+    below = np.mean([got[r.doc_id].score < 0.5 for r in rows])
+    assert abs(below - share) < 0.01
+    for r in rows[::37]:
+        z = quality.vector(r.text.encode() if r.text else None).astype(float) @ model.weights[:-1] + model.weights[-1]
+        assert abs(got[r.doc_id].score - 1 / (1 + np.exp(-quality.STEEP * z))) < 1e-9
+
+
+def test_languages_are_those_of_the_formula(spark):
+    """Family, votes and score of every text of a table, by loops over classes and pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(langid.training_rows(docs))
+    got = {r.doc_id: r for r in langid.identify(docs.select("doc_id", "text"), model).collect()}
+    for r in docs.collect():
+        if not langid.has_letter((r.text or "").encode()):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0)
+            continue
+        x = np.append(langid.vector(r.text.encode()), 1)
+        z = [sum(a * b for a, b in zip(x, model.weights[:, k])) for k in range(len(model.families))]
+        p = [np.exp(v - max(z)) for v in z]
+        best = int(np.argmax(p))
+        langs = model.members[model.families[best]]
+        belief = dict.fromkeys(langs, 0.0)
+        for (a, b), w in model.pairs.items():
+            if a in langs and b in langs:
+                q = 1 / (1 + np.exp(-3.0 * float(x @ w)))
+                belief[a] += q
+                belief[b] += 1 - q
+        want = max(langs, key=belief.get)
+        assert got[r.doc_id].lang_pred == want and abs(got[r.doc_id].score - p[best] / sum(p) * belief[want] / max(1, len(langs) - 1)) < 1e-4
+
+
+def test_grams_are_counted_as_loops_count_them():
+    text, bins, shift = b"abracadabra, abra!", 64, 33 - (64).bit_length()
+    counts = np.zeros(bins)
+    for i in range(len(text)):
+        y = None
+        for n in range(min(3, len(text) - i)):
+            c = text[i + n]
+            y = (c * 0x9E3779B1 + 0x7F4A7C15) % 2**32 if y is None else ((y ^ (y >> 15)) * 0x2C1B3C6D + c * 0x9E3779B1) % 2**32
+            counts[(y * 0x85EBCA6B) % 2**32 >> shift] += 1
+    assert np.allclose(ngrams(text, None, bins), np.sqrt(counts / counts.sum()), atol=1e-6)

@@ -218,7 +218,8 @@ def _left_out(features: DataFrame, p: np.ndarray, fitted: Callable[[Moments], np
     if not out:
         return np.zeros(0)
     weights = [fitted(Moments.of(p[~f])) for f in out]
-    return np.concatenate(shares_below(features, weights, [np.sort(_with_one(p[f]) @ w) for f, w in zip(out, weights)]))
+    # Positives are among the texts: a hair less, so that none counts as below itself for how a sum was rounded.
+    return np.concatenate(shares_below(features, weights, [np.sort(_with_one(p[f]) @ w) - 1e-9 for f, w in zip(out, weights)]))
 
 
 def score_at(features: DataFrame, w: np.ndarray, share: float) -> float:
