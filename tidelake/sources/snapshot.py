@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime
 import decimal
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from .. import errors
 from ..plans.windows import Window, compare
 from . import log
-from .files import files_of
+from .files import LocalFiles, files_of
 
 Predicate = tuple[str, str, object]
 
@@ -106,11 +107,13 @@ class Snapshot:
         paths = [f"{self.root.rstrip('/')}/{a['path']}" if "://" not in a["path"] else a["path"] for a in files]
         paths = [_hadoop(unquote(p)) for p in paths]
         if all(folder_says(a, self.partition_columns) for a in files):
-            df = self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+            with self._listing():
+                df = self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
             return df.select(*[F.col(f"`{c}`") for c in schema.names], *file)
         kinds = {f.name: f.dataType for f in schema.fields}
         body = T.StructType([f for f in schema.fields if f.name not in self.partition_columns])
-        rows = self.spark.read.schema(body).option("recursiveFileLookup", "true").parquet(*paths).select("*", F.col("_metadata.file_path").alias(name))
+        with self._listing():
+            rows = self.spark.read.schema(body).option("recursiveFileLookup", "true").parquet(*paths).select("*", F.col("_metadata.file_path").alias(name))
         keyed = [(uri, *[a["partitionValues"].get(c) for c in self.partition_columns]) for uri, a in self.uris(files).items()]
         part = spare("__p", [*schema.names, name])
         names = [f"{part}u", *[f"{part}{i}" for i in range(len(self.partition_columns))]]
@@ -119,6 +122,18 @@ class Snapshot:
         cols = [F.col(names[1 + self.partition_columns.index(c)]).cast(kinds[c]).alias(c) if c in self.partition_columns else F.col(f"`{c}`") for c in schema.names]
         return joined.select(*cols, *([F.col(name)] if with_file else []))
 
+    @contextmanager
+    def _listing(self) -> Iterator[None]:
+        """While it holds, files on a local disk are looked at by the driver, which takes less than the job that Spark starts from 32 files on."""
+        key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+        before = self.spark.conf.get(key)
+        if isinstance(files_of(self.spark, self.root), LocalFiles):
+            self.spark.conf.set(key, 20_000)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def uris(self, files: list[dict]) -> dict[str, dict]:
         """Files by the name that a scan's _metadata.file_path gives them."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path
