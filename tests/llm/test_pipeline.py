@@ -62,7 +62,7 @@ def test_language_stage_drops_what_was_not_learned(spark):
 
 
 def test_run_is_the_stages_in_turn(spark, data):
-    assert corpus_pipeline.run(spark, data).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert corpus_pipeline.run(spark, data).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "placed_by"]
 
 
 def test_empty_documents_pass_all_stages(spark, data, no_docs):
