@@ -86,6 +86,26 @@ def test_ways_agree_and_read_the_same_rows(spark):
     assert ways[0] == ways[1]
 
 
+def test_blocks_that_are_read_otherwise_are_written_and_asked_again(spark, tmp_path, monkeypatch):
+    docs = [(d, prose(d % 30, 40)) for d in range(100)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    df, calls, real = spark.read.parquet(str(tmp_path / "d")), [], L._routed
+    assert L._rereadable(df.select("doc_id", "text")) and not L._rereadable(df.repartition(2))
+
+    def once(*a):
+        calls.append(a[0])
+        if len(calls) == 1:
+            raise RuntimeError(f"job aborted: {L.MISREAD}")
+        return real(*a)
+
+    monkeypatch.setattr(L, "_routed", once)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    got = L.score(df, df, slice_bytes=3000, broadcast_text=0)
+    assert len(calls) == 2 and got.count() == 100 and spark.conf.get("spark.sql.files.minPartitionNum", None) == before, (len(calls), before)
+    want = L.score(df, df, slice_bytes=3000)
+    assert sorted((r.doc_id, round(r.score, 4)) for r in got.collect()) == sorted((r.doc_id, round(r.score, 4)) for r in want.collect())
+
+
 def test_probabilities_sum_to_one(spark, data):
     """Over the vocabulary of a whole table and one unknown word, after common and rare words."""
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data.replace('sf0.001', 'sf0.01')}/documents.parquet").collect()]

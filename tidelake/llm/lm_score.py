@@ -22,6 +22,7 @@ read once more. That is one pass for counting and two for scoring, however large
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil, log, log2
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..deploy import ship
@@ -367,10 +368,44 @@ def _name(at: int, ids: list, texts: list[bytes | None]) -> str:
     return f"{TaskContext.get().partitionId()}-{at}-{digest.hexdigest()}"
 
 
+@contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """While it holds, a scan cuts files alike however many executors there are: Spark derives splits from their number otherwise, and one
+    may be lost between two scans."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, before or spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+MISREAD = "a block of texts was read otherwise the second time"
+
+
 def _by_routing(docs: DataFrame, training: DataFrame, bits: int, mass: float) -> tuple[DataFrame, About]:
-    """Blocks of texts ask the slices, and the answers come back to them. A slice is built where it is asked, and kept nowhere."""
+    """Blocks of texts ask the slices, and the answers come back to them.
+
+    The texts are read twice, which has to give the same blocks. Those of a file scan are not written for that; should its files be read
+    otherwise after all, which the blocks' names show, or should they come from elsewhere, they are written first.
+    """
+    with _same_splits(docs.sparkSession):
+        if _rereadable(docs):
+            try:
+                return _routed(docs, training, bits, mass)
+            except Exception as e:
+                if MISREAD not in str(e):
+                    raise
+        texts = Saved(docs, "texts")
+        out = _routed(texts.df, training, bits, mass)
+        texts.drop()
+        return out
+
+
+def _routed(docs: DataFrame, training: DataFrame, bits: int, mass: float) -> tuple[DataFrame, About]:
+    """A slice is built where it is asked, and kept nowhere."""
     spark = docs.sparkSession
-    docs = docs if _rereadable(docs) else Saved(docs, "texts").df
 
     def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, (ids, texts) in enumerate(_blocks(it, BLOCK_BYTES)):
@@ -404,8 +439,8 @@ def _by_routing(docs: DataFrame, training: DataFrame, bits: int, mass: float) ->
             yield _batch(_TEXTS, [(_name(at, ids, texts), ids, pack.compress(whole.getvalue()))])
 
     def score_block(kept: pa.Table, answers: pa.Table) -> pa.Table:
-        if not kept.num_rows:
-            raise RuntimeError("a block of texts was read otherwise the second time")
+        if kept.num_rows != 1 or not answers.num_rows:
+            raise RuntimeError(MISREAD)
         texts = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(kept["texts"][0].as_py())).read_all()["text"].to_pylist()
         block = Block(texts, bits)
         answers = answers.sort_by("slice")
