@@ -8,7 +8,7 @@ weighted by bytes.
 The tree is a table with a row for each node of a level, and so is everything about it: spreads, bins and cuts never pass through the
 driver. A median is found by refining a histogram: each pass sums the bytes of a node by the next 12 bits of its sort key and goes on
 within the bin that holds the median. The key holds the dimension's value first, then a hash of the text, then one of the row, so ties,
-copies and repeated rows are cut exactly too. Copies take the least metadata of their group, which puts equal texts beside each other in
+copies and repeated rows are cut exactly too; a bin of few rows is resolved at once. Copies take the least metadata of their group, which puts equal texts beside each other in
 every order, and a cut goes round a group unless that costs more than `group_slack` of a shard; `group_cut` tells the rows of texts that lie
 in several shards. The metadata is written once for each level of the tree.
 """
@@ -24,6 +24,8 @@ VALUE_BITS, TEXT_BITS, ID_BITS, STEP = 20, 28, 15, 12
 KEY_BITS = VALUE_BITS + TEXT_BITS + ID_BITS
 #: Bytes of a text after the beginning that all share which tell its place, and quantiles of the distinct ones that scale it.
 PREFIX, MARKS = 6, 256
+#: Rows of a bin that are told apart at once.
+FEW_ROWS = 20_000
 #: A cut is done when its bin holds under this share of its node's bytes.
 CLOSE = 1e-6
 #: A cut spares a group of equal texts of under this share of a shard's bytes.
@@ -119,40 +121,44 @@ def _opened(rows: DataFrame, dims: int) -> DataFrame:
     """A row for each node (at, shards) of two shards or more: its widest dimension, its bytes, and those wanted below its cut."""
     open_ = rows.where("shards > 1")
     weighted = [F.sum(F.col("size") * F.pow(F.col(f"d{i}").cast("double") / (1 << VALUE_BITS), F.lit(float(p)))).alias(f"s{i}_{p}") for i in range(dims) for p in (1, 2)]
-    nodes = open_.groupBy("at", "shards").agg(F.sum("size").alias("bytes"), *weighted)
+    nodes = open_.groupBy("at", "shards").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), *weighted)
     spread = [F.col(f"s{i}_2") / F.col("bytes") - F.pow(F.col(f"s{i}_1") / F.col("bytes"), F.lit(2.0)) for i in range(dims)]
     widest = F.array_max(F.array(*[F.struct(s.alias("spread"), F.lit(-i).alias("dim")) for i, s in enumerate(spread)]))
     want = F.col("bytes") * F.floor(F.col("shards") / 2) / F.col("shards")
     zero = F.lit(0).cast("long")
-    return nodes.select("at", "shards", "bytes", (-widest["dim"]).alias("dim"), want.alias("want"), zero.alias("below"), zero.alias("prefix"), F.lit(0).alias("bits"), F.lit(False).alias("done"), zero.alias("cut"))
+    return nodes.select("at", "shards", "bytes", "rows", (-widest["dim"]).alias("dim"), want.alias("want"), zero.alias("below"), zero.alias("prefix"), F.lit(0).alias("bits"), F.lit(False).alias("done"), zero.alias("cut"))
 
 
 def _refined(rows: DataFrame, nodes: DataFrame, dims: int, small: bool, group_slack: float) -> DataFrame:
-    """The nodes with the bin that holds the median narrowed by STEP bits; those whose bin is fine enough get their cut and are done."""
-    kept = ["at", "shards", "bytes", "dim", "want", "below", "prefix", "bits", "done", "cut"]
-    open_ = nodes.where("not done").drop("done", "cut")
-    step = F.least(F.lit(STEP), F.lit(KEY_BITS) - F.col("bits"))
+    """The nodes with the bin that holds the median narrowed by `_step` bits; those whose bin is fine enough get their cut and are done."""
+    kept = ["at", "shards", "bytes", "rows", "dim", "want", "below", "prefix", "bits", "done", "cut"]
+    open_ = nodes.where("not done").drop("done", "cut").withColumn("step", _step().cast("int")).withColumnRenamed("rows", "before")
     joined = rows.select("at", "size", "tail", *[f"d{i}" for i in range(dims)]).join(F.broadcast(open_) if small else open_, "at")
     # Spark's shifts take a column as their width only in SQL.
-    joined = joined.withColumn("key", _key(dims)).withColumn("step", step.cast("int"))
-    joined = joined.withColumn("bin", F.expr(f"shiftrightunsigned(key, {KEY_BITS} - bits - step)")).where(F.expr("shiftright(bin, step) = prefix"))
+    joined = joined.withColumn("key", _key(dims)).withColumn("bin", F.expr(f"shiftrightunsigned(key, {KEY_BITS} - bits - step)")).where(F.expr("shiftright(bin, step) = prefix"))
     bins = joined.groupBy("at", "bin").agg(F.sum("size").alias("held"), F.count(F.lit(1)).alias("rows"))
     placed = bins.join(F.broadcast(open_) if small else open_, "at")
     order = Window.partitionBy("at").orderBy("bin")
     upto = F.col("below") + F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     last = F.row_number().over(Window.partitionBy("at").orderBy(F.col("bin").desc())) == 1
     found = placed.withColumn("upto", upto).withColumn("last", last).where((F.col("upto") >= F.col("want")) | F.col("last"))
-    found = found.withColumn("nth", F.row_number().over(order)).where("nth = 1")
-    bits = F.col("bits") + F.least(F.lit(STEP), F.lit(KEY_BITS) - F.col("bits"))
-    before = F.col("upto") - F.col("held")
+    found = found.withColumn("nth", F.row_number().over(order)).where("nth = 1").withColumn("bits", (F.col("bits") + F.col("step")).cast("int"))
+    bits, before = F.col("bits"), F.col("upto") - F.col("held")
     spared = (bits == VALUE_BITS + TEXT_BITS) & (F.col("held") <= F.lit(group_slack) * F.col("bytes") / F.col("shards"))
     done = spared | (F.col("rows") == 1) | (F.col("held") <= F.lit(CLOSE) * F.col("bytes")) | (bits == KEY_BITS)
     over = (F.col("upto") - F.col("want") < F.col("want") - before).cast("long")  # the nearer side of the bin
-    found = found.select("at", "shards", "bytes", "dim", "want", before.alias("below"), F.col("bin").alias("prefix"), bits.cast("int").alias("bits"), done.alias("done"), over.alias("over"))
+    found = found.select("at", "shards", "bytes", "rows", "dim", "want", before.alias("below"), F.col("bin").alias("prefix"), "bits", done.alias("done"), over.alias("over"))
     found = found.withColumn("cut", F.expr(f"shiftleft(prefix + over, {KEY_BITS} - bits)")).select(*kept)
     return nodes.where("done").select(*kept).unionByName(found)
 
 
+def _step() -> Column:
+    """STEP bits, so that a node has 4,096 bins; of so few rows that they are not more bins than that by much, all bits up to the end of the text's,
+    or of the key."""
+    rest = F.when(F.col("bits") < VALUE_BITS + TEXT_BITS, F.lit(VALUE_BITS + TEXT_BITS)).otherwise(F.lit(KEY_BITS)) - F.col("bits")
+    return F.when(F.col("rows") <= FEW_ROWS, rest).otherwise(F.least(F.lit(STEP), rest))
+
+
 def _level(rows: DataFrame, dims: int, nodes_at_most: int, group_slack: float) -> DataFrame:
     """Every row in the half of its node that it falls into; a node of one shard stays."""
     small = nodes_at_most <= BROADCAST_ROWS
@@ -206,10 +212,10 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
 def write_shards(docs: DataFrame, path: str, **how) -> None:
     """Write whole documents under shard=<n>/ folders of a Parquet table at `path`; a column named shard is left out for them.
 
-    Rows that repeat a doc_id and text go to one shard of those that hold them. Rows without doc_id go to the last shard.
+    Every row is dealt for itself, rows without doc_id and repeated ones too; see `kd_shards` for what `how` may say.
     """
-    placed = kd_shards(docs, **how).groupBy(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc")).agg(F.min("shard").alias("shard"))
-    crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    last = placed.agg(F.max("shard")).first()[0] or 0
-    joined = docs.drop("shard").join(placed, (F.col("doc_id") == F.col("__id")) & (crc == F.col("__crc")), "left")
-    joined.withColumn("shard", F.coalesce("shard", F.lit(last))).drop("__id", "__crc").write.partitionBy("shard").parquet(path)
+    rows = Saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    placed = kd_shards(rows.df.withColumn("doc_id", F.col("__row")), **how).select(F.col("doc_id").alias("__of"), "shard")
+    joined = rows.df.drop("shard").join(placed, F.col("__row") == F.col("__of")).drop("__row", "__of")
+    joined.hint("rebalance", F.col("shard")).write.partitionBy("shard").parquet(path)
+    rows.drop()
