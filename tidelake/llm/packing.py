@@ -33,8 +33,9 @@ from .common import Saved, binary_list, numbered
 #: Bins that lengths are taken together in, bins that a combination has at most, and repeats of a bin in it at most, but of its last,
 #: which fills the window. They bound what is enumerated and bar no piece: each bin can be a combination's last.
 BINS, KINDS, MOST_TIMES = 64, 3, 64
-#: Times that what is left is solved for again before the rest is packed greedily.
-ROUNDS = 4
+#: Rounds of solving, each by the share of a window that its sequences may leave empty; a combination that leaves more waits for a later
+#: round, or for the greedy step.
+SLACKS = [1 / 1024] * 4 + [1 / 256] * 2
 
 
 # 1: ASCII small letters and digits, 2: other ASCII characters than white space and the apostrophe. Pre-tokenisation cuts between the
@@ -228,10 +229,25 @@ def nonnegative_least_squares(columns: list[Combination], wanted: np.ndarray) ->
     return x
 
 
+def _pair(have: list[np.ndarray], twice: np.ndarray | None, room: int) -> tuple[int, ...]:
+    """The two lengths, one of each side, or the one length, that fill the room best; none if none fit. `twice` marks those of a common side
+    of which there are two."""
+    if len(have) == 1:
+        fit = have[0][have[0] <= room]
+        return (int(fit[-1]),) if len(fit) else ()
+    both = np.add.outer(have[0], have[1])
+    if twice is not None:
+        both[np.diag(~twice)] = room + 1
+    both[both > room] = 0
+    i, j = np.unravel_index(both.argmax(), both.shape)
+    return (int(have[0][i]), int(have[1][j])) if both[i, j] else ()
+
+
 def _realised(c: Combination, left: np.ndarray, width: int, window: int) -> list[int] | None:
     """Lengths that are left, of the bins of a combination, that fill a window best; None if a bin runs out or they are too long.
 
-    All but two are taken near their bins' middles, each making good for those before; the last two are the best pair.
+    All but three are taken near their bins' middles, each making good for those before; of the third last all are tried, nearest
+    first, with the best pair for each, until a window is full.
     """
     slots = [k for k, n in zip(c.bins, c.times) for _ in range(n)]
     out: list[int] = []
@@ -245,29 +261,33 @@ def _realised(c: Combination, left: np.ndarray, width: int, window: int) -> list
             free = free - np.array([taken.get(int(x), 0) for x in lengths])
         return lengths[free > 0]
 
-    for k in slots[:-2]:
-        have = there(k)
+    def nearest(k: int) -> np.ndarray:
+        have, middle = there(k), width * k - (width - 1) / 2
+        return have[np.argsort(np.abs(have - (middle - drift)), kind="stable")]
+
+    for k in slots[:-3]:
+        have = nearest(k)
         if not len(have):
             return None
-        want = width * k - (width - 1) / 2 - drift
-        x = int(have[np.abs(have - want).argmin()])
-        drift += x - (width * k - (width - 1) / 2)
-        out.append(x)
-        taken[x] = taken.get(x, 0) + 1
-    room = window - sum(out)
-    last = [there(k) for k in slots[-2:]]
-    if not all(map(len, last)):
-        return None
-    if len(last) == 1:
-        fit = last[0][last[0] <= room]
-        return [*out, int(fit[-1])] if len(fit) else None
-    both = np.add.outer(last[0], last[1])
-    if slots[-1] == slots[-2]:  # a length twice needs two pieces of it
-        once = np.array([left[x] - taken.get(int(x), 0) < 2 for x in last[0]])
-        both[np.diag(once)] = window + 1
-    both[both > room] = 0
-    i, j = np.unravel_index(both.argmax(), both.shape)
-    return [*out, int(last[0][i]), int(last[1][j])] if both[i, j] else None
+        out.append(int(have[0]))
+        drift += out[-1] - (width * k - (width - 1) / 2)
+        taken[out[-1]] = taken.get(out[-1], 0) + 1
+    best: list[int] | None = None
+    for x in nearest(slots[-3]) if len(slots) > 2 else [None]:
+        if x is not None:
+            taken[int(x)] = taken.get(int(x), 0) + 1
+        have = [there(k) for k in slots[-2:]]
+        if all(map(len, have)):
+            twice = np.array([left[y] - taken.get(int(y), 0) > 1 for y in have[0]]) if len(have) == 2 and slots[-1] == slots[-2] else None
+            first = out if x is None else [*out, int(x)]
+            pair = _pair(have, twice, window - sum(first))
+            if pair and (best is None or sum(first) + sum(pair) > sum(best)):
+                best = [*first, *pair]
+        if x is not None:
+            taken[int(x)] -= 1
+        if best and sum(best) == window:
+            break
+    return best
 
 
 @dataclass(frozen=True)
@@ -289,30 +309,27 @@ def plan(hist: np.ndarray, window: int) -> list[Layout]:
 
     Each solved count is rounded to the nearest number, the largest first, and spent on the lengths that are there: one choice of
     lengths is repeated until it or the count runs out, so the steps follow the lengths and not the pieces. What is left is solved for
-    again, ROUNDS times in all, and then packed longest first.
+    again, a round for each of SLACKS, and then packed longest first.
     """
     left, out = hist.astype(np.int64).copy(), []
     if left[window]:
         out.append(Layout((window,), int(left[window]), "full"))
         left[window] = 0
     width = bin_width(window)
-    for _ in range(ROUNDS):
+    for slack in SLACKS:
         wanted = np.bincount(-(-np.arange(len(left)) // width), left, -(-window // width) + 1).astype(float)
         columns = combinations(wanted > 0, width, window)
         solved = nonnegative_least_squares(columns, wanted)
-        before = len(out)
         for k in np.argsort(-solved, kind="stable"):
             todo = int(solved[k] + 0.5)
             if not todo:
                 break
-            while todo and (lengths := _realised(columns[k], left, width, window)) and window - sum(lengths) <= width:
+            while todo and (lengths := _realised(columns[k], left, width, window)) and window - sum(lengths) <= slack * window:
                 used, counts, n = _most(lengths, left)
                 n = min(n, todo)
                 left[used] -= n * counts
                 todo -= n
                 out.append(Layout(tuple(lengths), n, "solved"))
-        if len(out) == before:
-            break
     while left.any():
         lengths: list[int] = []
         used = np.zeros_like(left)
