@@ -27,7 +27,7 @@ from .common import Saved, binary_list
 #: Symbols of an index at most, its separators included, and the distance of sampled suffix positions.
 SHARD, SAMPLE = 1_000_000, 16
 #: Documents held at most at once, in bytes of text; a longer one is held alone.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 4 << 20
 #: Bytes of benchmark text that are broadcast at once, some 30 MB of patterns; a larger benchmark is searched in that many blocks in turn.
 BLOCK_BYTES = 8 << 20
 #: Rows with a hit that are broadcast when there are several blocks; more are shuffled.
